@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from leadloom.llm import exact_dedup, quality
+from leadloom.llm import exact_dedup, quality, simhash, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op5_simhash": simhash.op5_simhash,
     "op9_quality_rules": quality.op9_quality_rules,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLES = {
     "op1_exact_dedup": exact_dedup.ORACLE,
