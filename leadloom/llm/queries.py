@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from leadloom.llm import exact_dedup, quality, simhash, toxicity
+from leadloom.llm import exact_dedup, packing, quality, simhash, token_count, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op5_simhash": simhash.op5_simhash,
+    "op6_packing": packing.op6_packing,
+    "op7_token_counts": token_count.op7_token_counts,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_toxicity": toxicity.op10_toxicity,
 }
