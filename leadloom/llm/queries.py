@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from leadloom.llm import exact_dedup, packing, quality, simhash, token_count, toxicity
+from leadloom.llm import exact_dedup, language_id, packing, quality, simhash, token_count, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op4_language_id": language_id.op4_language_id,
     "op5_simhash": simhash.op5_simhash,
     "op6_packing": packing.op6_packing,
     "op7_token_counts": token_count.op7_token_counts,
