@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from leadloom.llm import exact_dedup, language_id, packing, quality, simhash, token_count, toxicity
+from leadloom.llm import chat, exact_dedup, html_text, language_id, packing, quality, simhash, token_count, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_chat_format": chat.op2_chat_format,
+    "op3_html_text": html_text.op3_html_text,
     "op4_language_id": language_id.op4_language_id,
     "op5_simhash": simhash.op5_simhash,
     "op6_packing": packing.op6_packing,
@@ -14,5 +16,6 @@ QUERIES = {
     "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLES = {
+    "op2_chat_format": chat.ORACLE,
     "op1_exact_dedup": exact_dedup.ORACLE,
 }
