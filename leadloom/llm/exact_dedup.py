@@ -28,6 +28,11 @@ def normalised(text: Column) -> Column:
     return reduce(lambda acc, ch: F.replace(acc, F.lit(ch), F.lit("")), BLANKS, F.coalesce(text, F.lit("")))
 
 
+def text_digest(text: Column) -> Column:
+    """Lower-case hexadecimal SHA-256 of the normalised text in UTF-8."""
+    return F.sha2(normalised(text), 256)
+
+
 class DigestIndex:
     """A digest table at ``path`` that outlives the session; opened again by its path and bucket count."""
 
@@ -59,7 +64,7 @@ class DigestIndex:
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     return docs.select(
         F.col(id_col).alias("doc_id"),
-        F.unhex(F.sha2(normalised(F.col(text_col)), 256)).alias("digest"),
+        F.unhex(text_digest(F.col(text_col))).alias("digest"),
         F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_chars"),
     )
 

@@ -162,14 +162,10 @@ def score_quality(
     """
     counted = materialize(counts(df, text_col, lang_col, carry), "quality-counts")
     hists = histograms(counted)
-    refs = references(hists).agg(F.collect_list(F.struct("class_ref", "common_ref")).alias("refs"))
-    judged = hists.join(F.broadcast(refs))  # one row, of as many structs as LANGUAGES at most
-    judged = judged.withColumns(
-        {
-            "class_distance": F.array_min(F.transform("refs", lambda r: js_distance(F.col("class_hist"), r["class_ref"]))),
-            "word_distance": F.array_min(F.transform("refs", lambda r: js_distance(F.col("common_hist"), r["common_ref"]))),
-        }
-    )
+    means = references(hists).collect()  # as many rows as LANGUAGES at most
+    array = lambda xs: F.array(*[F.lit(float(x)) for x in xs])
+    distance = lambda hist, key: F.array_min(F.array(F.lit(None).cast("double"), *[js_distance(F.col(hist), array(r[key])) for r in means]))
+    judged = hists.withColumns({"class_distance": distance("class_hist", "class_ref"), "word_distance": distance("common_hist", "common_ref")})
     n = F.col("n_words")
     failed = (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * n)
     far = ((n >= MIN_WORDS_CLASSES) & (F.col("class_distance") > max_class_distance)) | (

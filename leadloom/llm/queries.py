@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from leadloom.llm import chat, exact_dedup, html_text, language_id, packing, quality, simhash, token_count, toxicity
+from leadloom.llm import chat, exact_dedup, html_text, language_id, packing, quality, sentence_pieces, simhash, token_count, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_simhash": simhash.op5_simhash,
     "op6_packing": packing.op6_packing,
     "op7_token_counts": token_count.op7_token_counts,
+    "op8_sentence_pieces": sentence_pieces.op8_sentence_pieces,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_toxicity": toxicity.op10_toxicity,
 }
