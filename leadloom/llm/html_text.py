@@ -158,8 +158,9 @@ class Page:
         return chain
 
     def votes(self) -> list[tuple[str, float]]:
-        """(path, score) of the chain: deeper containers score more for the same share."""
-        return [(self.path[k], share * (1 + 0.25 * depth)) for depth, (k, share) in enumerate(self.main_chain())]
+        """(path, score) of the chain: the deepest container has its share, each one above it half as much."""
+        chain = self.main_chain()
+        return [(self.path[k], share * 0.5 ** (len(chain) - 1 - depth)) for depth, (k, share) in enumerate(chain)]
 
     def text_under(self, path: str | None) -> str:
         """Blocks under the containers at ``path``, or under the page's own best container where it has none."""
