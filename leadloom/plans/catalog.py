@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from leadloom.functions import similarity, urls
 from leadloom.functions import text as T
-from leadloom.operators import dedupe, records, resolve, runs, scoring, targets, upsert, websites
+from leadloom.operators import dedupe, html, records, resolve, runs, scoring, targets, upsert, websites
 from leadloom.plans import relations as R
 from leadloom.sources import readers
 
@@ -691,3 +691,34 @@ _LOG = "SELECT user_id, event_id, CASE event_id % 3 WHEN 0 THEN 'applied: ' || C
 def log_kv_parse(spark: SparkSession, sf: str) -> DataFrame:
     lines = spark.sql(_LOG, events=spark.read.parquet(f"{sf}/events.parquet"))
     return readers.log_values(lines, ["user_id"], order="event_id")
+
+
+# Pages --------------------------------------------------------------------------------------------
+
+
+@query(
+    "site_pages",
+    "SELECT page_id, trim(regexp_replace(regexp_extract(replace(replace(replace(replace(html, '&amp;', '&'), '&lt;', '<'), '&copy;', '©'), '&middot;', '·'), '(?s)<footer>(.*?)</footer>', 1), '\\s+', ' ', 'g')) AS footer FROM pages",
+)
+def site_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return html.site_pages(spark.read.parquet(f"{sf}/pages.parquet")).select("page_id", "page.footer")
+
+
+@query("site_contacts")
+def site_contacts(spark: SparkSession, sf: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf}/pages.parquet").withColumns({"site": urls.hostname(F.col("url")), "status": F.lit(200)})
+    return html.merge_site(html.site_pages(pages), "site", "page_id", "status")
+
+
+@query(
+    "directory_records",
+    "SELECT s_nationkey AS page, 'yellowpages' AS source, s_name AS raw_company_name, '(865) 555-' || (1000 + s_suppkey) AS raw_phone, '/mip/' || s_suppkey AS source_id, 'https://www.yellowpages.com/mip/' || s_suppkey AS detail_url FROM supplier",
+)
+def directory_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Result pages are put together from suppliers and read back."""
+    k = F.col("s_suppkey").cast("string")
+    card = F.concat(
+        F.lit('<div class="result"><a class="business-name" href="/mip/'), k, F.lit('?lid=1"><span>'), F.col("s_name"), F.lit('</span></a><div class="phones">(865) 555-'), (F.col("s_suppkey") + 1000).cast("string"), F.lit("</div></div>")
+    )
+    pages = spark.read.parquet(f"{sf}/supplier.parquet").groupBy(F.col("s_nationkey").alias("page")).agg(F.array_join(F.collect_list(card), "").alias("html"))
+    return html.directory_records(pages).select("page", "source", "raw_company_name", "raw_phone", "source_id", "detail_url")
