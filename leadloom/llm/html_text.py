@@ -27,8 +27,10 @@ NEVER = frozenset("nav footer aside form menu dialog button fieldset head".split
 MARKS = frozenset(
     "nav navbar navigation menu sidebar side ad ads advert adverts advertisement sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay "
     "newsletter subscribe subscription signup share sharing social related recommended recommendations comment comments commentlist reply replies respond disqus footer header masthead breadcrumb "
-    "breadcrumbs pagination pager widget toolbar login search skip copyright complementary contentinfo search tags".split()
+    "breadcrumbs pagination pager widget toolbar login search skip copyright complementary contentinfo tags".split()
 )
+# Words beside a mark that tell of a layout or of the article's own heading.
+ABOUT, TITLED = frozenset("has with no without".split()), frozenset("article post entry story content".split())
 #: A container counts while it holds this share of the page's text.
 MAIN_SHARE = 0.8
 #: Hosts whose winners are broadcast; beyond it the join shuffles.
@@ -54,17 +56,30 @@ def _attributes(raw: str) -> dict[str, str]:
 def _marked(attrs: dict[str, str]) -> bool:
     if attrs.get("aria-hidden") == "true" or ("style" in attrs and _HIDDEN.search(attrs["style"])):
         return True
-    words = _NAME_PART.findall(" ".join(attrs.get(k, "") for k in ("class", "id", "role")))
-    return any(w.lower() in MARKS for w in words)
+    names = [*attrs.get("class", "").split(), attrs.get("id", ""), attrs.get("role", "")]
+    return any(_mark(name) for name in names if name)
+
+
+def _mark(name: str) -> bool:
+    """Whether a class, id or role marks what is not the article: "sidebar" does, "has-sidebar" and "post-header" do not."""
+    words = {w.lower() for w in _NAME_PART.findall(name)}
+    found = words & MARKS
+    if found == {"header"} and words & TITLED:
+        return False
+    return bool(found) and not words & ABOUT
 
 
 class Page:
     """Containers (parent, path, is it an article) and text blocks (container, text, characters outside links) in page order."""
 
     def __init__(self, html: str):
-        self.parent, self.path, self.article = [-1], [""], [False]
-        self.blocks: list[tuple[int, str, int]] = []
-        self._read(html)
+        for self.marks in (True, False):  # a page that is nothing but marked elements is read without minding the marks
+            self.parent, self.path, self.article = [-1], [""], [False]
+            self.blocks: list[tuple[int, str, int]] = []
+            self.marked = False
+            self._read(html)
+            if self.blocks or not self.marked:
+                break
 
     def _read(self, html: str) -> None:
         stack: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, container, excluded
@@ -119,7 +134,9 @@ class Page:
             return
         attrs = _attributes(raw) if "=" in raw else {}
         own = tag in ("html", "body", "main", "article")
-        out = tag in NEVER or "hidden" in raw.split() or (tag == "header" and not any(self.article[c] for _, c, _ in stack)) or (not own and attrs and _marked(attrs))
+        marked = self.marks and not own and bool(attrs) and _marked(attrs)
+        self.marked |= marked
+        out = marked or tag in NEVER or "hidden" in raw.split() or (tag == "header" and not any(self.article[c] for _, c, _ in stack))
         if out:
             flush()
             stack.append((tag, container, True))

@@ -152,6 +152,13 @@ def test_page_text(spark):
     assert html_text.extract(df.limit(0)).collect() == []
 
 
+def test_marks():
+    text = lambda h: html_text.Page(h).text_under(None)
+    page = "<div class='layout has-sidebar'><div class='post-header'><h1>T</h1></div><p>main text here</p><div class='post-comments'>c</div><div id='cookieNotice'>k</div></div>"
+    assert text(page) == "T\nmain text here"
+    assert text("<div class='widget'><p>only this</p></div>") == "only this" and text("<nav>menu</nav>") == ""
+
+
 def test_host_consensus_wins_over_a_page(spark):
     usual = "<body><div class='top-1'><p>%s</p></div><div class='body-%d'><p>" + "main text goes here " * 20 + "</p></div></body>"
     odd_page = "<body><div class='top-9'><p>" + "a very long teaser text " * 200 + "</p></div><div class='body-7'><p>short</p></div></body>"
