@@ -210,3 +210,79 @@ def should_archive(mode: Column, run_id: Column, dataset_id: Column, status: Col
     """Whether a run's raw rows may be archived: wanted, complete and without any error."""
     filled = lambda c: F.coalesce(c != "", F.lit(False))
     return (mode != "keep") & filled(run_id) & filled(dataset_id) & F.coalesce(status == "completed", F.lit(False)) & ~F.coalesce(failed, F.lit(False))
+
+
+#: Fields of the run metrics: (name, [(source map, key), ...]); the first that is neither missing nor 0 counts.
+METRIC_FIELDS = [
+    ("raw_records_ingested", [("ingest", "raw_records_ingested")]),
+    ("dataset_record_count", [("validation", "dataset_record_count"), ("etl", "dataset_record_count")]),
+    ("companies_seeded", [("etl", "canonical_companies_upserted_current_state"), ("validation", "companies_in_run")]),
+    ("companies_enriched", [("apply", "applied")]),
+    ("contacts_found", [("contacts", "contacts_found")]),
+    ("named_contacts_found", [("contacts", "named_contacts_found")]),
+    *[(f"{k}_inserted", [("contacts", f"{k}_inserted_this_execution"), ("contacts", f"{k}_inserted_reported")]) for k in ("leads", "named_leads", "sellable_leads", "premium_leads")],
+    ("companies_scanned", [("contacts", "companies_scanned")]),
+    *[
+        (k, [("validation", k)])
+        for k in (
+            "companies_in_run", "companies_with_website", "companies_with_domain", "companies_with_phone", "companies_with_company_email", "companies_with_contact_form", "leads_from_run_companies",
+            "company_expansion_leads", "sellable_leads_now", "premium_like_leads_now",
+        )
+    ],
+    ("raw_expansion_docs_written", [("expansion", "raw_expansion_docs_written_delta")]),
+    ("expansion_apply_found", [("apply", "found")]),
+    ("expansion_apply_applied", [("apply", "applied")]),
+    *[(k, [("contacts", k)]) for k in ("company_phone_updates", "company_email_updates", "company_form_updates")],
+]
+#: Elapsed seconds, by the map that tells them.
+ELAPSED = {"ingestion": "ingest", "etl": "etl", "expansion": "expansion", "expansion_apply": "apply", "contact_discovery": "contacts"}
+
+
+def metrics_payload(results: DataFrame) -> DataFrame:
+    """One typed row a run from what its stages printed: maps ingest, etl, expansion, apply, contacts and validation of text to text, beside
+    run_id, dataset_id, trigger, status and error_message. For leads a figure of this execution counts even when it is 0."""
+
+    def number(name: str, sources: list[tuple[str, str]]) -> Column:
+        values = [F.try_element_at(F.col(m), F.lit(k)) for m, k in sources]
+        if name.endswith("_inserted"):
+            return F.coalesce(*[F.when(blank_to_null(v).isNotNull(), metric_int(v)) for v in values], F.lit(0).cast("bigint"))
+        return F.coalesce(*[F.nullif(metric_int(v), F.lit(0).cast("bigint")) for v in values], F.lit(0).cast("bigint"))
+
+    seconds = lambda m: F.round(F.coalesce(F.try_element_at(F.col(m), F.lit("elapsed_seconds")).try_cast("double"), F.lit(0.0)), 2)
+    dataset = F.coalesce(*[blank_to_null(F.try_element_at(F.col(m), F.lit("dataset_id"))) for m in ("validation", "etl")], F.col("dataset_id"))
+    return results.select(
+        "run_id",
+        dataset.alias("dataset_id"),
+        *("trigger", "status", "error_message"),
+        *[number(n, s).alias(n) for n, s in METRIC_FIELDS],
+        *[seconds(m).alias(f"{n}_elapsed_seconds") for n, m in ELAPSED.items()],
+    )
+
+
+def company_id_list(text: Column) -> Column:
+    """Ids of a comma-separated list; blanks and a stray ">" at the end of one go."""
+    parts = F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda p: F.regexp_replace(strip(p), ">+$", ""))
+    return F.transform(F.filter(parts, lambda p: p.rlike(r"^\d+$")), lambda p: p.cast("bigint"))
+
+
+def set_record_counts(datasets: DataFrame, companies: DataFrame) -> DataFrame:
+    """Datasets with the number of companies that they have now; those without any keep theirs."""
+    counted = companies.groupBy(F.col("dataset_id").alias("_id")).agg(F.count(F.lit(1)).cast("int").alias("_n"))
+    joined = datasets.join(counted, F.col("id") == F.col("_id"), "left")
+    return joined.withColumn("record_count", F.coalesce("_n", "record_count")).drop("_id", "_n")
+
+
+def backfill(companies: DataFrame, updates: DataFrame, columns: list[str], domains: list[str]) -> DataFrame:
+    """Companies of ``domains`` (with or without "www.") with ``columns`` replaced from ``updates`` (id and those columns)."""
+    bare = F.replace(F.col("domain"), F.lit("www."), F.lit(""))
+    wanted = F.col("domain").isin(*domains) | bare.isin(*domains)
+    fresh = updates.select(F.col("id").alias("_id"), *[F.col(c).alias(f"_{c}") for c in columns])
+    joined = companies.join(fresh, (F.col("id") == F.col("_id")) & wanted, "left")
+    merged = {c: F.when(F.col("_id").isNotNull(), F.col(f"_{c}")).otherwise(F.col(c)) for c in columns}
+    return joined.withColumns(merged).drop("_id", *[f"_{c}" for c in columns])
+
+
+def with_social_columns(entities: DataFrame) -> DataFrame:
+    """Adds the social columns, unknown until some source fills them."""
+    kinds = {"facebook_url": "string", "facebook_followers": "int", "linkedin_url": "string", "linkedin_employee_count": "int"}
+    return entities.withColumns({c: F.lit(None).cast(k) for c, k in kinds.items() if c not in entities.columns})

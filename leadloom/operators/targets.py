@@ -74,3 +74,15 @@ def build_targets(markets: DataFrame, packs: DataFrame, profiles: DataFrame, pac
         targets = targets.orderBy("target_order").limit(max(0, max_query_pairs))
     return targets.select(*columns)
 
+
+
+def active_pairs(markets: DataFrame, packs: DataFrame, profiles: DataFrame, **kw) -> int:
+    """Number of (market, industry) pairs that would be queried."""
+    return build_targets(markets, packs, profiles, **kw).count()
+
+
+def preset_targets(preset: dict | None, markets: DataFrame, packs: DataFrame, profiles: DataFrame, max_query_pairs: int | None = None) -> DataFrame:
+    """Targets of a preset: the keyword arguments of filter_markets, and ``pack``; none means every enabled market."""
+    chosen = dict(preset or {})
+    pack = chosen.pop("pack", None)
+    return build_targets(filter_markets(markets, **chosen), packs, profiles, pack=pack, max_query_pairs=max_query_pairs)

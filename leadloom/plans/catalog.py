@@ -12,6 +12,7 @@ from leadloom.functions import text as T
 from leadloom.operators import dedupe, html, records, resolve, runs, scoring, targets, upsert, websites
 from leadloom.plans import relations as R
 from leadloom.sources import readers
+from leadloom.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -722,3 +723,125 @@ def directory_records(spark: SparkSession, sf: str) -> DataFrame:
     )
     pages = spark.read.parquet(f"{sf}/supplier.parquet").groupBy(F.col("s_nationkey").alias("page")).agg(F.array_join(F.collect_list(card), "").alias("html"))
     return html.directory_records(pages).select("page", "source", "raw_company_name", "raw_phone", "source_id", "detail_url")
+
+
+# More of runs and sources --------------------------------------------------------------------------
+
+_STAGES = (
+    "SELECT s_suppkey AS run_no, CAST(s_suppkey % 7 AS STRING) AS applied, CASE WHEN s_suppkey % 3 = 0 THEN '0' WHEN s_suppkey % 3 = 1 THEN CAST(s_suppkey AS STRING) ELSE NULL END AS seeded, CAST(s_suppkey + 5 AS STRING) AS in_run, "
+    "CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE CAST(s_suppkey % 4 - 1 AS STRING) END AS inserted, '9' AS reported, CASE WHEN s_suppkey % 5 = 0 THEN 'x' ELSE CAST(s_suppkey / 8.0 AS STRING) END AS elapsed FROM {supplier}"
+)
+
+
+@query(
+    "metrics_payload",
+    f"WITH s AS ({_STAGES.format(supplier='supplier')}) SELECT 'r' || run_no AS run_id, coalesce(nullif(try_cast(seeded AS BIGINT), 0), run_no + 5) AS companies_seeded, run_no % 7 AS companies_enriched, "
+    "coalesce(try_cast(inserted AS BIGINT), 9) AS leads_inserted, 0::BIGINT AS contacts_found, round(coalesce(try_cast(elapsed AS DOUBLE), 0), 2) AS etl_elapsed_seconds FROM s",
+)
+def metrics_payload(spark: SparkSession, sf: str) -> DataFrame:
+    s = spark.sql(_STAGES, supplier=spark.read.parquet(f"{sf}/supplier.parquet"))
+    m = lambda *kv: F.map_filter(F.create_map(*[F.lit(x) if i % 2 == 0 else F.col(x) for i, x in enumerate(kv)]), lambda k, v: v.isNotNull())
+    nothing = F.create_map().cast("map<string,string>")
+    results = s.select(
+        F.concat(F.lit("r"), F.col("run_no")).alias("run_id"),
+        *[F.lit(None).cast("string").alias(c) for c in ("dataset_id", "trigger", "status", "error_message")],
+        nothing.alias("ingest"),
+        m("canonical_companies_upserted_current_state", "seeded", "elapsed_seconds", "elapsed").alias("etl"),
+        nothing.alias("expansion"),
+        m("applied", "applied").alias("apply"),
+        m("leads_inserted_this_execution", "inserted", "leads_inserted_reported", "reported").alias("contacts"),
+        m("companies_in_run", "in_run").alias("validation"),
+    )
+    return runs.metrics_payload(results).select("run_id", "companies_seeded", "companies_enriched", "leads_inserted", "contacts_found", "etl_elapsed_seconds")
+
+
+@query("company_id_list", "SELECT n_nationkey, [n_nationkey::BIGINT, 7] AS ids FROM nation")
+def company_id_list(spark: SparkSession, sf: str) -> DataFrame:
+    given = F.concat(F.lit(" "), F.col("n_nationkey").cast("string"), F.lit(">,, x, 7"))
+    return spark.read.parquet(f"{sf}/nation.parquet").select("n_nationkey", runs.company_id_list(given).alias("ids"))
+
+
+@query("finalize_datasets", f"{CD} SELECT d.id, coalesce((SELECT count(*) FROM companies c WHERE c.dataset_id = d.id AND c.id % 2 = 0 HAVING count(*) > 0), record_count)::INT AS record_count FROM datasets d")
+def finalize_datasets(spark: SparkSession, sf: str) -> DataFrame:
+    return runs.set_record_counts(datasets(spark, sf), companies(spark, sf).where("id % 2 = 0")).select("id", "record_count")
+
+
+@query(
+    "backfill_update",
+    f"{C} SELECT id, CASE WHEN domain IN ('company1.com', 'company2.com') AND id % 2 = 0 THEN 'new' ELSE facebook_url END AS facebook_url FROM companies",
+)
+def backfill_update(spark: SparkSession, sf: str) -> DataFrame:
+    c = companies(spark, sf)
+    updates = c.where("id % 2 = 0").select("id", F.lit("new").alias("facebook_url"))
+    return runs.backfill(c, updates, ["facebook_url"], ["company1.com", "company2.com"]).select("id", "facebook_url")
+
+
+@query("archive_manifest", f"{RAW} SELECT 'yelp' AS run_id, count(*) AS matched, count(*) AS written, true AS complete FROM raw WHERE source = 'yelp'")
+def archive_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    rows = raw(spark, sf).select(F.col("source").alias("run_id"), "source_id", "query", "market")
+    return readers.archive_run(rows, "yelp", scratch_path(spark, "archive"))
+
+
+@query("purge_run", f"{RAW} SELECT source, count(*) AS n FROM raw WHERE source <> 'yelp' GROUP BY source")
+def purge_run(spark: SparkSession, sf: str) -> DataFrame:
+    kept = readers.purge_run(raw(spark, sf).withColumn("run_id", F.col("source")), "yelp")
+    return kept.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "retention_gate",
+    f"{CD} SELECT id, NOT (id % 4 = 0) AND id % 3 > 0 AND id % 5 > 0 AND id % 7 > 0 AS archive FROM datasets",
+)
+def retention_gate(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("id")
+    mode, status = F.when(k % 4 == 0, "keep").otherwise("archive-only"), F.when(k % 3 > 0, "completed")
+    gate = runs.should_archive(mode, F.when(k % 5 > 0, "r").otherwise(""), F.lit("d"), status, k % 7 == 0)
+    return datasets(spark, sf).select("id", gate.alias("archive"))
+
+
+@query(
+    "market_registry_rows",
+    "SELECT n_nationkey AS population, lower(regexp_replace(n_name, '[ _]', '-', 'g')) || '-xx' AS market_slug, n_name || ', XX' AS market, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey // 2 END AS population_rank, n_nationkey % 3 > 0 AS enabled, 'home_services' AS default_pack FROM nation",
+)
+def market_registry_rows(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("n_nationkey")
+    rows = spark.read.parquet(f"{sf}/nation.parquet").select(
+        F.concat(F.lit(" "), F.col("n_name")).alias("city"), F.lit("xx").alias("state"), k.cast("string").alias("population"), (k / 2).cast("string").alias("population_rank"),
+        F.when(k % 3 == 0, "No").otherwise("").alias("enabled"),
+    )
+    rows = rows.withColumn("population_rank", F.regexp_replace("population_rank", r"\.0$", ""))
+    return readers.market_registry(rows).select("population", "market_slug", "market", "population_rank", "enabled", "default_pack")
+
+
+@query("parcel_rows", "SELECT 'anderson' AS county, c_name AS owner_name, CASE WHEN c_custkey % 3 > 0 THEN c_custkey || ' OAK ST' END AS property_address, c_custkey::VARCHAR AS parcel_id, NULL::VARCHAR AS lot FROM customer")
+def parcel_rows(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("c_custkey").cast("string")
+    address = F.when(F.col("c_custkey") % 3 > 0, F.concat(k, F.lit(" OAK ST "))).otherwise(" ")
+    rows = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_name").alias("Owner"), address.alias("Property Address"), k.alias("Parcel ID"))
+    return readers.parcels(rows, "anderson", "r1").select("county", "owner_name", "property_address", "parcel_id", "lot")
+
+
+@query("best_email", f"{C} SELECT id, coalesce(email_primary, nullif(website, ''), 'none') AS email FROM companies")
+def best_email(spark: SparkSession, sf: str) -> DataFrame:
+    return companies(spark, sf).select("id", T.best_email(F.col("email_primary"), F.col("website"), fallback=F.lit("none")).alias("email"))
+
+
+@query("run_keys", f"{RAW} SELECT {_SRC} AS source, {_QKEY} AS query_key, count(*) AS n FROM raw GROUP BY 1, 2")
+def run_keys(spark: SparkSession, sf: str) -> DataFrame:
+    keyed = raw(spark, sf).select(runs.source_name(F.col("source")).alias("source"), runs.query_key(F.col("query"), F.col("market")).alias("query_key"))
+    return keyed.groupBy("source", "query_key").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("website_summaries", "SELECT page_id, 200 AS status, strlen(html)::INT AS html_bytes, html <> '' AS html_present FROM pages")
+def website_summaries(spark: SparkSession, sf: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    return pages.select("page_id", records.website_summary(F.col("html"), F.lit(200)).alias("w")).select("page_id", "w.*")
+
+
+@query("company_expansion", f"{SERP}, c AS (SELECT DISTINCT company_id, canonical_name FROM serp) SELECT count(*) AS companies, count(DISTINCT company_id) AS ids FROM c")
+def company_expansion(spark: SparkSession, sf: str) -> DataFrame:
+    found = serp(spark, sf).drop("canonical_name").withColumn("source", F.lit("bing_serp"))
+    named = serp(spark, sf).select("company_id", "canonical_name").distinct()
+    contacts = spark.createDataFrame([("https://acme1.com", "1", "a@b.c", None)], "website string, phone string, email string, contact_form_url string")
+    out = websites.expand_companies(named, found, contacts)
+    return out.agg(F.count(F.lit(1)).alias("companies"), F.countDistinct("company_id").alias("ids"))
