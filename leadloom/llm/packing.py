@@ -86,8 +86,8 @@ def pieces(
             for lo in range(0, whole.num_rows, BLOCK):
                 batch = whole.slice(lo, BLOCK)
                 rows = []
-                for k, text in enumerate(batch.column(1).to_pylist()):
-                    ids = word_ids(text, vocabulary, folder) + end
+                for k, ids in enumerate(word_ids(batch.column(1).to_pylist(), vocabulary, folder)):
+                    ids += end
                     n = len(ids) // 4
                     rows += [(k, at, min(window, n - at), ids[4 * at : 4 * (at + window)], n) for at in range(0, n, window)]
                 k, start, length, ids, total = zip(*rows)

@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom.llm.scratch import materialize, table
-from leadloom.llm.tokens import byte_count, tokenizer
+from leadloom.llm.tokens import byte_counts, tokenizer
 
 VOCABULARY = "byte_bpe_50k.json"
 CHUNK_CHARS, OVERLAP_CHARS, WIDEN = 32_768, 512, 8
 TOKEN_LIMIT = 1024
+#: Short documents counted at a time.
+BLOCK = 500
 
 _EDGES = "array<struct<at:bigint,before:bigint>>"
 
@@ -108,7 +110,8 @@ def token_counts(
         import pyarrow as pa
 
         for batch in batches:
-            n = [byte_count(t, vocabulary, folder) for t in batch.column(2).to_pylist()]
+            texts = batch.column(2)
+            n = [c for lo in range(0, len(texts), BLOCK) for c in byte_counts(texts.slice(lo, BLOCK).to_pylist(), vocabulary, folder)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
     size = F.octet_length("text").cast("bigint").alias("n_bytes")
