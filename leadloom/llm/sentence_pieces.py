@@ -21,6 +21,8 @@ from leadloom.llm.tokens import tokenizer_path
 VOCABULARY = "piece_bpe_32k.model"
 BLANK = "▁"
 CHUNK_CHARS = 65_536
+#: Documents of ordinary length that are encoded at a time.
+BLOCK = 200
 #: Word pairs whose compatibility a worker remembers.
 MAX_REMEMBERED = 200_000
 NEVER = float("-inf")
@@ -281,11 +283,13 @@ def encode_documents(
         import pyarrow as pa
 
         m = model(name, folder)
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            ids = m.library.encode(texts, num_threads=1)
-            packed = pa.array([np.array(x, dtype="<u4").tobytes() for x in ids], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), packed, pa.array(m.library.decode(ids, num_threads=1), pa.string())], names=["doc_id", "ids", "decoded"])
+        for whole_batch in batches:
+            for lo in range(0, whole_batch.num_rows, BLOCK):
+                batch = whole_batch.slice(lo, BLOCK)
+                ids = m.library.encode(batch.column(1).to_pylist(), num_threads=1)
+                texts = m.library.decode(ids, num_threads=1)
+                packed = pa.array([np.array(x, dtype="<u4").tobytes() for x in ids], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0), packed, pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
 
     schema = f"doc_id {kind}, ids binary, decoded string"
     short = rows.where(F.length("text") <= chunk).mapInArrow(whole, schema)
