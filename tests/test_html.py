@@ -78,3 +78,14 @@ def test_parcel_details(spark):
 def test_canonical_address():
     assert html.canonical("../x?q=1#f", "https://a.com/b/c") == "https://a.com/x"
     assert html.canonical("mailto:x@y.z", "https://a.com") is None and html.canonical("https://a.com") == "https://a.com/"
+
+
+def test_registry_and_bureau(spark):
+    page = """<div id="business-details"><h2>Acme  LLC</h2><h4>Entity Type: LLC</h4><h4>Status: Active</h4><div class="col-md-4"><h4>Registered Agent</h4><h4>Jane Doe</h4><h4>1 Main St</h4></div></div>"""
+    got = html.registry_details(page)
+    assert (got["matched_name"], got["entity_type"], got["business_status"], got["registered_agent"], got["source_status"]) == ("Acme LLC", "LLC", "Active", "Jane Doe, 1 Main St", "parsed")
+    assert html.registry_details("<p>x</p>")["source_status"] == "details_not_found" and html.registry_details("<div id=business-details></div>")["source_status"] == "detail_fields_missing"
+    bureau = html.bureau_profile("<span>BBB Accredited</span><span class='x LetterGrade'>A+</span><p>12 complaints closed</p>")
+    assert bureau == {"accredited": True, "rating": "A+", "complaints": 12} and html.bureau_profile(None) == {"accredited": False, "rating": None, "complaints": None}
+    df = spark.createDataFrame([(page,)], "html string").select(html.extract(html.registry_details, html.REGISTRY, F.col("html")).alias("r"), html.extract(html.bureau_profile, html.BUREAU, F.col("html")).alias("b"))
+    assert df.first().r.entity_type == "LLC" and df.first().b.accredited is False
