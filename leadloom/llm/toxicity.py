@@ -21,12 +21,14 @@ from leadloom.llm.scratch import materialize, table
 HOMOGLYPHS = str.maketrans("авеікмнорстухѕјԁɡαβειικνορτυχ", "abeikmhopctyxsjdgabeiikvoptux")
 SUBSTITUTES = str.maketrans("0134578@$!", "oieastbasi")
 # Phrases in which a lexicon term is harmless.
-EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "scum line", "path to", "worth of")
+EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "scum line")
 
 #: Bound on the labelled rows that are learned from, half for the lexicon and half for the curve.
 MAX_TRAINING_ROWS = 12_000
 #: Lexicon terms: word beginnings of these lengths, in so many toxic documents at least, this much likelier there.
 TERM_CHARS, MIN_TOXIC_DOCS, MIN_LOG_ODDS, MAX_TERMS = range(4, 13), 5, 1.5, 5_000
+#: A term goes if one longer term is in this share of its toxic documents.
+STUMP_SHARE = 0.9
 
 _SIGN = re.compile(r"[@$!](?=[^\W_])")
 _DIGIT = re.compile(r"[0134578](?=[0-9]*[^\W\d_])|(?<=[^\W\d_])[0134578](?=[^\W_])|(?<=[^\W\d_])[013457](?![^\W_])")
@@ -123,10 +125,19 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS)
         odds = F.log((F.col("toxic") + 0.5) / n_toxic) - F.log((F.col("clean") + 0.5) / n_clean)
         best = found.where(F.col("toxic") >= MIN_TOXIC_DOCS).withColumn("weight", odds).where(F.col("weight") >= MIN_LOG_ODDS)
         ranked = best.orderBy(F.desc(F.col("toxic") * F.col("weight")), "term").limit(MAX_TERMS)
-        terms = tuple((r["term"], r["weight"]) for r in ranked.select("term", "weight").collect())
+        terms = _without_stumps([tuple(r) for r in ranked.select("term", "weight", "toxic").collect()])
     return terms, _curve(texts.where("half = 1"), terms)
 
 
+def _without_stumps(ranked: list[tuple[str, float, int]]) -> tuple[tuple[str, float], ...]:
+    """Terms with their weights, less those that nearly always go on as one longer term: "path" where it is "pathetic"."""
+    docs = {term: n for term, _, n in ranked}
+    longer: dict[str, int] = {}
+    for term, n in docs.items():
+        longer[term[:-1]] = max(longer.get(term[:-1], 0), n)
+    return tuple((term, weight) for term, weight, n in ranked if longer.get(term, 0) < STUMP_SHARE * n)
+
+
 def _curve(texts: DataFrame, terms: tuple) -> tuple:
     import numpy as np
 
