@@ -33,7 +33,7 @@ def run_companies(companies: DataFrame, datasets: DataFrame, dataset_id) -> Data
 
 
 def validation_counts(companies: DataFrame, datasets: DataFrame, leads: DataFrame, dataset_id, run_id: str | None) -> DataFrame:
-    """One row of counts over the companies and leads of a dataset: each relation is read once."""
+    """One row of counts over the companies and leads of a dataset: conditional counts in one pass over each, not a subquery for each figure."""
     ours = run_companies(companies, datasets, dataset_id)
     has = lambda c: F.count_if(F.col(c).isNotNull())
     of_companies = ours.agg(

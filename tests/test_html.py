@@ -61,13 +61,13 @@ PARCEL = """<div class="card"><div class="card-header">Property Owner and Mailin
 <div class="card"><div class="card-header">Property Location</div><p>Address: 12 Oak St</p></div>
 <div class="card"><div class="card-header">Value Information</div><div><span>x</span></div><p>Land Market Value:</p><p>$10,500</p><p>Improvement Value: $90,000</p><p>Total Market Appraisal: $100,500</p></div>
 <div class="card"><div class="card-header">Sale Information</div><table><tr><th>Sale Date</th><th>Price</th></tr><tr><td>1/2/2020</td><td>$1,940</td></tr></table></div>
-<a class="pdf-button" href="/tpad/Parcel/PrintPDF/1">pdf</a>"""
+<a class="pdf-button" href="/x/Parcel/PrintPDF/1">pdf</a>"""
 
 
 def test_parcel_details(spark):
     got = html.parcel_details(PARCEL)
     assert (got["owner_name"], got["mailing_street"], got["mailing_city_state_zip"]) == ("DOE JANE", "12 OAK ST", "TOWN, TN 37000")
-    assert got["property_address"] == "12 Oak St" and got["links"] == {"pdf_path": "/tpad/Parcel/PrintPDF/1"}
+    assert got["property_address"] == "12 Oak St" and got["links"] == {"pdf_path": "/x/Parcel/PrintPDF/1"}
     assert (got["market_land_value"], got["improvement_value"], got["total_value"]) == (10_500, 90_000, 100_500)
     assert got["sales"] == [{"Sale Date": "1/2/2020", "Price": "$1,940", "Price_num": "1940"}]
     row = html.parcel_records(spark.createDataFrame([(PARCEL,), (None,)], "html string")).collect()
