@@ -49,7 +49,8 @@ def _by_chunks(texts: DataFrame, chunk: int, overlap: int, name: str, folder: st
     )
     length = F.when(F.col("k") == F.col("of") - 1, F.length("text")).otherwise(F.lit(chunk + overlap))
     cut = cut.select("key", "of", "k", F.substring(F.col("text"), F.col("k") * chunk + 1, length).alias("part"))
-    cut = cut.repartition("key", "k")  # the chunks of one document go to many tasks
+    # The chunks of one document go to many tasks; the number is given, since few bytes here mean much work.
+    cut = cut.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "k")
 
     def of_batches(batches):
         import pyarrow as pa
