@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.functions import similarity, urls
+from leadloom.functions import nested, similarity, urls
 from leadloom.functions import text as T
 from leadloom.operators import dedupe, html, records, resolve, runs, scoring, targets, upsert, websites
 from leadloom.plans import relations as R
@@ -845,3 +845,17 @@ def company_expansion(spark: SparkSession, sf: str) -> DataFrame:
     contacts = spark.createDataFrame([("https://acme1.com", "1", "a@b.c", None)], "website string, phone string, email string, contact_form_url string")
     out = websites.expand_companies(named, found, contacts)
     return out.agg(F.count(F.lit(1)).alias("companies"), F.countDistinct("company_id").alias("ids"))
+
+
+@query("nested_values", "SELECT event_id, try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k, -1::BIGINT AS missing FROM events")
+def nested_values(spark: SparkSession, sf: str) -> DataFrame:
+    props = F.col("props")
+    return spark.read.parquet(f"{sf}/events.parquet").select("event_id", nested.nested(props, "k", "bigint").alias("k"), nested.nested(props, "none", "bigint", -1).alias("missing"))
+
+
+@query(
+    "raw_source_ids",
+    f"{C} SELECT id, lower(trim(coalesce(nullif(canonical_name, ''), 'unknown'))) || '|' || lower(trim(coalesce(phone_primary, ''))) || '|' || lower(trim(coalesce(mailing_city, ''))) AS source_id FROM companies",
+)
+def raw_source_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return companies(spark, sf).select("id", records.raw_source_id(*(F.col(c) for c in ("canonical_name", "phone_primary", "mailing_city"))).alias("source_id"))

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from leadloom.functions import similarity, text, urls
+from leadloom.functions import nested, similarity, text, urls
 
 
 def _each(spark, f, values, kind="string"):
@@ -53,3 +53,9 @@ def test_likeness(spark):
 def test_rates(spark):
     rows = spark.createDataFrame([(23, 140), (1, 0)], "n int, d int")
     assert [r[0] for r in rows.select(text.safe_rate(F.col("n"), F.col("d"))).collect()] == [0.1643, 0.0]
+
+
+def test_nested_values(spark):
+    docs = ['{"a": {"b": 3}}', '{"a": {"b": null}}', '{"a": {}}', '{"a": 1}', "no json", None]
+    assert _each(spark, lambda v: nested.nested(v, "a.b", "int", 9), docs) == [3, None, 9, None, None, None]
+    assert _each(spark, lambda v: nested.nested(v, "a.b"), docs)[:3] == ["3", None, None]

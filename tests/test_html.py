@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from leadloom.operators import html
+from leadloom.operators import html, records
 
 PAGE = """<html><title>Acme | Home</title><body><a href="/about-us?x=1">About</a><a href="mailto:a@b.co">mail</a><a href="https://other.com/team">Team</a>
 <p>Call 1 (865) 555-0101 or write Info@Acme.com<br><a href="/reach">Get in Touch</a><script>var x='no@script.com'</script><footer> 1 Main  St </footer>"""
@@ -89,3 +89,12 @@ def test_registry_and_bureau(spark):
     assert bureau == {"accredited": True, "rating": "A+", "complaints": 12} and html.bureau_profile(None) == {"accredited": False, "rating": None, "complaints": None}
     df = spark.createDataFrame([(page,)], "html string").select(html.extract(html.registry_details, html.REGISTRY, F.col("html")).alias("r"), html.extract(html.bureau_profile, html.BUREAU, F.col("html")).alias("b"))
     assert df.first().r.entity_type == "LLC" and df.first().b.accredited is False
+
+
+def test_detail_websites(spark):
+    page = "<a href='https://www.facebook.com/x'>Visit website</a><a href='https://r.co/?url=https%3A%2F%2Fown.com%2F'>Website</a><a class='track-visit-website' href='http://late.com'>go</a>"
+    pages = spark.createDataFrame([(1, page), (2, "<a href='http://x.com'>home</a>"), (3, "captcha" + page), (4, None)], "id int, html string")
+    assert {r.id: r.detail_website for r in html.detail_websites(pages, "id").collect()} == {1: "https://own.com/"}
+    both = pages.join(html.detail_websites(pages, "id"), "id", "left").withColumn("raw_website", F.when(F.col("id") == 2, "card.com"))
+    got = {r.id: (r.website, r.method, r.confidence) for r in records.discovered_websites(both, detail_website="detail_website").collect()}
+    assert got == {1: ("https://own.com/", "yp_detail", 0.7), 2: ("https://card.com", "yp_card", 0.8), 3: (None, "none", 0.0), 4: (None, "none", 0.0)}
