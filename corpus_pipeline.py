@@ -9,6 +9,7 @@ from leadloom.llm.exact_dedup import exact_dedup, text_digest
 from leadloom.llm.packing import packed_digest
 from leadloom.llm.quality import score_quality
 from leadloom.llm.scratch import materialize, rows_of, table
+from leadloom.llm.similar import SIMILAR
 from leadloom.llm.simhash import near_duplicates
 from leadloom.llm.toxicity import drop_toxic, learn
 
@@ -37,7 +38,16 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of linked fingerprints; rows that share an id share its fate."""
-    kept = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
+    return _first_of_groups(docs, near_duplicates(docs))
+
+
+def edited_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As near_copies, with texts linked too whose sets of five-word shingles have a Jaccard similarity of 0.8 or more."""
+    return _first_of_groups(docs, near_duplicates(docs, similar=SIMILAR))
+
+
+def _first_of_groups(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
     joined = rows_of(docs).join(kept, F.col("_row.doc_id").eqNullSafe(F.col("_id")), "left_semi")
     return joined.select("_row.*")
 
@@ -51,7 +61,7 @@ STAGES = [
     ("quality_rules", quality_rules),
     ("toxicity", toxicity),
     ("exact_dedup", exact_copies),
-    ("simhash_near_dedup", near_copies),
+    ("simhash_near_dedup", edited_copies),
     ("packing", packing),
 ]
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from leadloom.operators.components import components
 from leadloom.llm.scratch import materialize, table
+from leadloom.llm.similar import sketches, with_similar
 
 BITS, BYTES = 64, 8
 SHINGLE_WORDS, MAX_BITS = 3, 2
@@ -107,18 +108,22 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, similar: float | None = None
 ) -> DataFrame:
     """doc_id, fp and component_id of every row: the smallest doc_id that links of ``max_bits`` bits reach.
 
     Texts without words (null, empty, blank) share the fingerprint zero and link like any other. Rows with a null id
     take part but never name a component unless all ids in it are null. Repeated rows and ties fall in one
     component; an empty table gives no rows; other columns are not read. Texts of any length count whole.
+    With ``similar``, texts whose five-word shingles have at least that Jaccard similarity are linked too.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = materialize(fingerprints(docs, id_col, text_col, words_in_shingle), "fingerprints")
+    found = fingerprints(docs, id_col, text_col, words_in_shingle) if similar is None else sketches(docs, id_col, text_col, words_in_shingle)
+    rows = materialize(found, "fingerprints")
     classes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-classes")
     edges = materialize(links(classes.select("fp"), max_bits), "fingerprint-links")
+    if similar is not None:
+        edges = with_similar(rows, docs, text_col, edges, similar)
     member = components(edges)
     grouped = classes.join(member, classes.fp == member.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = grouped.groupBy("root").agg(F.min("first_id").cast(kind).alias("component_id"))

@@ -1,0 +1,119 @@
+"""Links between texts whose sets of five-word shingles are alike: Jaccard similarity, exact for every pair looked at.
+
+Copies with edited words differ by 2 to 11 bits of SimHash, which no positional byte index can promise to find. Here texts
+meet in the 28 band keys of four minima each; a pair at the threshold of 0.8 misses all of them with probability 4e-7.
+Every text of a bucket is compared with the bucket's first; then what is still in different components is compared
+pair by pair, so a group of copies costs its size and not its square.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from leadloom.llm.scratch import materialize
+from leadloom.operators.components import components
+
+SIMILAR_WORDS, SIMILAR = 5, 0.8
+BANDS, ROWS = 28, 4
+SEED = 42
+#: Texts in pairs whose keys are broadcast; beyond it the join shuffles.
+MAX_BROADCAST_TEXTS = 100_000
+
+
+def shingles(text: str | None, words_in_shingle: int = SIMILAR_WORDS):
+    """Sorted distinct 64-bit hashes of the shingles; a text with fewer words is one shingle, one without words has none."""
+    import numpy as np
+    import xxhash
+
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.empty(0, dtype=np.uint64)
+    n, digest = max(1, len(words) - words_in_shingle + 1), xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(b" ".join(words[k : k + words_in_shingle]), SEED) for k in range(n)), dtype=np.uint64, count=n))
+
+
+def jaccard(a, b) -> float:
+    import numpy as np
+
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / max(1, len(a) + len(b) - both)
+
+
+def band_keys(hashes) -> list[int]:
+    """BANDS keys of ROWS minima each; none for no shingles. Shingles go in blocks, so memory is bounded."""
+    import numpy as np
+    import xxhash
+
+    if not len(hashes):
+        return []
+    rng = np.random.default_rng(SEED)
+    salt, factor = rng.integers(0, 1 << 64, (2, BANDS * ROWS), dtype=np.uint64)
+    factor |= np.uint64(1)
+    least = np.full(BANDS * ROWS, (1 << 64) - 1, dtype=np.uint64)
+    for lo in range(0, len(hashes), 1024):
+        mixed = (hashes[lo : lo + 1024, None] ^ salt) * factor
+        mixed ^= mixed >> np.uint64(32)
+        np.minimum(least, (mixed * factor).min(axis=0), out=least)
+    return [xxhash.xxh64_intdigest(row.tobytes(), band) - (1 << 63) for band, row in enumerate(least.reshape(BANDS, ROWS))]
+
+
+def sketches(docs: DataFrame, id_col: str, text_col: str, words_in_shingle: int) -> DataFrame:
+    """doc_id, fp (the SimHash) and ``node``, ``keys``: a digest of the text and its band keys."""
+    from leadloom.llm.simhash import fingerprint
+
+    def of_batches(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            fps = [fingerprint(t, words_in_shingle) for t in texts]
+            signed = pa.array([x - (1 << 64) if x >> 63 else x for x in fps], pa.int64())
+            keys = pa.array([band_keys(shingles(t)) for t in texts], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), signed, batch.column(2), keys], names=["doc_id", "fp", "node", "keys"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(F.col(id_col), F.col(text_col), F.xxhash64(text_col)).mapInArrow(of_batches, f"doc_id {kind}, fp bigint, node bigint, keys array<bigint>")
+
+
+def alike(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The fingerprints ``a``, ``b`` of those ``pairs`` (node and fp of two texts) with a Jaccard similarity of ``least`` or more."""
+    wanted = materialize(pairs.select("node").union(pairs.select(F.col("node_b").alias("node"))).distinct(), "wanted-texts")
+    small = wanted.limit(MAX_BROADCAST_TEXTS + 1).count() <= MAX_BROADCAST_TEXTS
+    found = texts.join(F.broadcast(wanted) if small else wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    found = materialize(found, "pair-texts")
+    both = pairs.join(found, "node").join(found.select(F.col("node").alias("node_b"), F.col("text").alias("text_b")), "node_b")
+
+    def of_batches(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            near = [jaccard(shingles(x), shingles(y)) >= least for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    return both.select("fp", "fp_b", "text", "text_b").mapInArrow(of_batches, "a bigint, b bigint")
+
+
+def with_similar(rows: DataFrame, docs: DataFrame, text_col: str, edges: DataFrame, least: float) -> DataFrame:
+    """``edges`` between fingerprints and those that similar texts add; ``rows`` are the sketches of ``docs``."""
+    texts = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).alias("text"))
+    postings = rows.select("node", "fp", "keys").dropDuplicates(["node"]).select("node", "fp", F.posexplode("keys").alias("band", "key"))
+    postings = materialize(postings, "band-postings")
+    shared = postings.groupBy("band", "key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo < hi").select("band", "key")
+    met = materialize(postings.join(shared, ["band", "key"]), "band-members")
+    other = lambda df: df.select("band", "key", *[F.col(c).alias(f"{c}_b") for c in ("node", "fp", "root")])
+    for star in (True, False):
+        member = components(edges)
+        rooted = met.join(member, met.fp == member.node, "left").select("band", "key", met.node, "fp", F.coalesce("root", "fp").alias("root"))
+        rooted = materialize(rooted, "band-roots")
+        ends = rooted.groupBy("band", "key").agg(F.min(F.struct("node", "fp", "root")).alias("first"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+        split = ends.where("lo < hi")
+        if star:
+            second = split.select("band", "key", *[F.col(f"first.{c}").alias(f"{c}_b") for c in ("node", "fp", "root")])
+            pairs = rooted.join(second, ["band", "key"]).where("root <> root_b")
+        else:
+            left = materialize(rooted.join(split.select("band", "key"), ["band", "key"]), "band-rest")
+            pairs = left.join(other(left), ["band", "key"]).where("node < node_b AND root <> root_b")
+        pairs = materialize(pairs.select("node", "fp", "node_b", "fp_b").distinct(), "similar-pairs")
+        edges = materialize(edges.unionByName(alike(pairs, texts, least)), "similar-links")
+    return edges

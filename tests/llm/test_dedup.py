@@ -7,6 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from leadloom.llm.exact_dedup import DigestIndex, digests, exact_dedup
+from leadloom.llm.similar import shingles
 from leadloom.llm.simhash import fingerprint, links, near_duplicates
 from tests.llm.conftest import ODD
 
@@ -104,3 +105,39 @@ def test_near_duplicates(odd, none):
 
 def test_digests_read_two_columns_only(odd):
     assert digests(odd).columns == ["doc_id", "digest", "n_chars"] and digests(odd).where(F.col("doc_id") == 3).first().n_chars == 0
+
+
+def test_similar_texts_are_linked_beyond_two_bits(docs_of, odd, none):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    rows = []
+    for g in range(12):
+        base = [word() for _ in range(200)]
+        rows.append((10 * g, " ".join(base), "en"))
+        for k in range(1, 1 + g % 4):
+            edited = list(base)
+            for at in rng.sample(range(200), 3 * k):
+                edited[at] = word()
+            rows.append((10 * g + k, " ".join(edited), "en"))
+    sets = {i: set(shingles(t).tolist()) for i, t, _ in rows}
+    fps = {i: fingerprint(t) for i, t, _ in rows}
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    far = 0
+    for a in sets:
+        for b in sets:
+            bits = (fps[a] ^ fps[b]).bit_count()
+            alike = len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8
+            far += a < b and alike and bits > 2
+            if alike or bits <= 2:
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    assert far > 5
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs_of(rows), similar=0.8).collect()}
+    assert got == {i: find(i) for i in sets}
+    assert near_duplicates(none, similar=0.8).collect() == [] and near_duplicates(odd, similar=0.8).count() == len(ODD)
