@@ -766,6 +766,11 @@ def finalize_datasets(spark: SparkSession, sf: str) -> DataFrame:
     return runs.set_record_counts(datasets(spark, sf), companies(spark, sf).where("id % 2 = 0")).select("id", "record_count")
 
 
+@query("finalize_datasets_all", f"{CD} SELECT d.id, coalesce((SELECT count(*) FROM companies c WHERE c.dataset_id = d.id HAVING count(*) > 0), record_count)::INT AS record_count FROM datasets d")
+def finalize_datasets_all(spark: SparkSession, sf: str) -> DataFrame:
+    return runs.set_record_counts(datasets(spark, sf), companies(spark, sf)).select("id", "record_count")
+
+
 @query(
     "backfill_update",
     f"{C} SELECT id, CASE WHEN domain IN ('company1.com', 'company2.com') AND id % 2 = 0 THEN 'new' ELSE facebook_url END AS facebook_url FROM companies",

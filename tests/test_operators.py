@@ -205,3 +205,15 @@ def test_streaming_merge(spark, tmp_path):
     q.awaitTermination(120)
     got = {r.dedupe_key: r.canonical_name for r in spark.read.parquet(str(tmp_path / "table/version=0")).collect()}
     assert got["a"] in ("One", "Again") and got["b"] == "Two" and got["c"] == "Old"
+
+
+def test_record_counts_take_every_company(spark):
+    from leadloom.plans import catalog
+
+    sf = "/root/testdata/sf0.001"
+    per_dataset = {r.dataset_id: r["count"] for r in catalog.companies(spark, sf).groupBy("dataset_id").count().collect()}
+    got = {r.id: r.record_count for r in catalog.QUERIES["finalize_datasets_all"](spark, sf).collect()}
+    assert per_dataset and all(got[i] == n for i, n in per_dataset.items() if i in got)
+    datasets = spark.createDataFrame([(1, 9), (2, 7)], "id long, record_count int")
+    companies = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "id long, dataset_id long")
+    assert {r.id: r.record_count for r in runs.set_record_counts(datasets, companies).collect()} == {1: 3, 2: 7}
