@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 from html import unescape
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from leadloom.llm import chat, html_text, language_id, quality, toxicity
@@ -51,13 +52,72 @@ def test_quality_odd_rows_and_long_text(odd):
     assert len(long["_row"].text) == len(ODD[7][1])
 
 
-def test_quality_tells_shouting_from_prose(docs_of):
+def test_repeats_of_a_text_of_four_million_words(spark):
+    words = F.transform(F.sequence(F.lit(0), F.lit(3_999_996)), lambda i: F.concat(F.lit("w"), i.cast("string")))
+    text = F.concat(F.array_join(words, " "), F.lit(" a b c a b c"))
+    r = quality.score_quality(spark.range(1).select("id", text.alias("text")), lang_col=None).first()
+    assert (r.n_words, r.n_repeat_words, r.base_failed, r.kept) == (4_000_003, 6, False, True)
+
+
+def _plain_verdicts(rows):
+    """kept by doc_id, counted word by word: (doc_id, text, lang) in."""
+    low = lambda t: [w for w in re.split(r"[\x20\x09-\x0D]+", (t or "").lower()) if w]
+    patterns = [r"\p{Ll}", r"[\p{Lu}\p{Lt}]", r"\s", r"\p{Nd}", r"""[.,;:'"?()\-]""", r"[\p{L}\p{M}]"]
+
+    def classes(t):
+        n = [0] * 7
+        for c in t or "":
+            n[next((k for k, p in enumerate(patterns) if regex.match(p, c)), 6)] += 1
+        return [x / max(1, len(t or "")) for x in n]
+
+    def commons(t, lists):
+        c, n = Counter(w.lower() for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")), _base(t)[0]
+        h = [c[w] / max(1, n) for w in lists]
+        return [*h, 1 - sum(h)]
+
+    def far(p, q):
+        part = lambda a, b: a * math.log2(2 * a / (a + b)) if a > 0 else 0.0
+        return math.sqrt(max(0.0, sum((part(a, b) + part(b, a)) / 2 for a, b in zip(p, q))))
+
+    by, kept = defaultdict(list), {}
+    for i, t, lang in rows:
+        n, _, _, _, repeats = _base(t)
+        kept[i] = n >= 50 and 100 * repeats <= 50 * n
+        by[lang].append((i, t, n))
+    judged = {lang: [r for r in rs if len(low(r[1])) >= 60] for lang, rs in by.items() if lang is not None}
+    for lang, rs in judged.items():
+        if len(rs) < 20 or len(rs) * 1000 < sum(map(len, judged.values())):
+            continue
+        docs = Counter(w for _, t, _ in rs for w in set(low(t)))
+        found = [w for w, n in docs.items() if n * 20 >= len(rs) and regex.fullmatch(r"\p{L}+", w)]
+        lists = sorted(sorted(found, key=lambda w: (-docs[w], w))[:32])
+        mean = lambda hs: [sum(x) / len(hs) for x in zip(*hs)]
+        fit = [(t, n) for _, t, n in rs if n >= 60]
+        class_ref, common_ref = mean([classes(t) for t, _ in fit]), mean([commons(t, lists) for t, _ in fit])
+        class_limit = round(2 * sorted(far(classes(t), class_ref) for t, _ in fit)[(len(fit) - 1) // 2], 3)
+        word_limit = 0.85 * far([0.0] * len(lists) + [1.0], common_ref)
+        for i, t, n in by[lang]:
+            if n >= 50 and far(classes(t), class_ref) > class_limit or n >= 60 and far(commons(t, lists), common_ref) > word_limit:
+                kept[i] = False
+    return kept
+
+
+def test_quality_verdict_against_plain_python(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = _plain_verdicts([(r.doc_id, r.text, r.lang) for r in docs.collect()])
+    got = {r.doc_id: r.kept for r in quality.score_quality(docs).select("_row.doc_id", "kept").collect()}
+    assert got == want and {True, False} == set(want.values())
+
+
+def test_quality_judges_a_language_by_its_own_words(docs_of):
     rng = random.Random(1)
-    word = lambda: rng.choice(quality.COMMON_WORDS["en"]) if rng.random() < 0.4 else "".join(rng.choice("aeinorst") for _ in range(6))
-    prose = [(i, " ".join(word() for _ in range(120)) + ".", "en") for i in range(40)]
-    shouting = [(100, " ".join(f"W{k}RD!!" for k in range(200)), "en")]
-    got = {r.doc_id: r.kept for r in quality.score_quality(docs_of(prose + shouting)).select("_row.doc_id", "kept").collect()}
-    assert got[100] is False and all(got[i] for i in range(40))
+    small = {"en": "the of and to in is it that for was on are as with be by".split(), "it": "il di che la e un per non si da con del una sono alla nel".split()}
+    word = lambda lang: rng.choice(small[lang]) if rng.random() < 0.4 else "".join(rng.choice("aeinorst") for _ in range(6))
+    prose = [(1000 * k + i, " ".join(word(lang) for _ in range(120)) + ".", lang) for k, lang in enumerate(small) for i in range(40)]
+    rare = [(5000, "".join(chr(0x4E00 + k) + " " for k in range(120)), "zh"), (5001, prose[0][1], "xx"), (5002, prose[50][1], None)]
+    junk = [(100, " ".join(f"W{k}RD!!" for k in range(200)), "en"), (101, " ".join(f"cell{k} |" for k in range(100)), "it")]
+    got = {r.doc_id: r.kept for r in quality.score_quality(docs_of(prose + rare + junk)).select("_row.doc_id", "kept").collect()}
+    assert got.pop(100) is False and got.pop(101) is False and all(got.values())
 
 
 def test_js_distance(spark):
@@ -159,12 +219,68 @@ def test_marks():
     assert text("<div class='widget'><p>only this</p></div>") == "only this" and text("<nav>menu</nav>") == ""
 
 
-def test_host_consensus_wins_over_a_page(spark):
-    usual = "<body><div class='top-1'><p>%s</p></div><div class='body-%d'><p>" + "main text goes here " * 20 + "</p></div></body>"
-    odd_page = "<body><div class='top-9'><p>" + "a very long teaser text " * 200 + "</p></div><div class='body-7'><p>short</p></div></body>"
-    rows = [(i, "http://a.example.com/", usual % ("teaser", i)) for i in range(5)] + [(9, "http://a.example.com/", odd_page)]
+LONG = "This is a long sentence of the story that the page is about. "
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<div id=content><h1>Title</h1><div class=rest><p>{LONG * 9}</p></div></div>", ["Title", LONG * 9]),
+        (f"<div class=post><h1>T</h1><p>{LONG}</p><div class=content><p>{LONG * 9}</p></div></div>", ["T", LONG, LONG * 9]),
+        (f"<main><section><p>{LONG}</p></section><section><p>{LONG * 9}</p></section></main>", [LONG, LONG * 9]),
+        (f"<article><h1>T</h1><h2 id='related-work'>Related work</h2><section id='social-history'><p>{LONG}</p></section><p class='ad-note'>{LONG}</p></article>", ["T", "Related work", LONG, LONG]),
+        (f"<header><p>Site</p></header><main><header><h1>Head</h1></header><p>{LONG}</p></main>", ["Head", LONG]),
+        (f"<article><p>{LONG} <math><mi>x</mi></math> end</p></article>", [f"{LONG}x end"]),
+        (f"<article><p>if a<b then stop</p><p>{LONG}</p></article>", ["if a<b then stop", LONG]),
+        (f"<article><p>{LONG}</p><section class='comments'><p>{LONG}</p></section><div id='comments'>{LONG}</div></article>", [LONG]),
+        (f"<article><p>{LONG}</p><div class='related-posts'><p>{LONG}</p></div><div class='share_buttons'>x</div><div id='cookieNotice'>x</div></article>", [LONG]),
+        (f"<main><h1>T</h1><article><p>{LONG * 9}</p></article></main>", ["T", LONG * 9]),
+        (f"<article><p title='a > b'>{LONG}</p><p alt=it's>{LONG}</p></article>", [LONG, LONG]),
+        (f"<article><p>{LONG}</p><pre>1 < 2\n &lt;3</pre><table><tr><td>a<td>b</table></article>", [LONG, "1 < 2 <3", "a", "b"]),
+    ],
+)
+def test_no_article_text_is_lost(page, want):
+    found = html_text.Page(f"<html><body><nav>menu</nav>{page}<footer>foot</footer></body></html>")
+    assert found.text_under(None) == "\n".join(x.strip() for x in want)
+    assert found.text_under(found.vote()[0]) == found.text_under(None)
+
+
+def test_a_page_off_the_hosts_path_keeps_its_article(spark, monkeypatch):
+    usual = "<body><div class='top-1'><a href='/'>home</a></div><div class='body-%d'><h1>T</h1><p>" + LONG * 9 + "</p></div></body>"
+    teaser = "<body><div class='top-9'><p>" + LONG + "</p></div><div class='body-7'><h1>T</h1><p>" + LONG * 9 + "</p></div></body>"
+    other = "<body><div class='story'><h1>Own</h1><p>" + LONG * 20 + "</p></div><div class='body-7'><p>short box</p></div></body>"
+    rows = [(i, "http://a.example.com/", usual % i) for i in range(5)] + [(8, "http://a.example.com/", teaser), (9, "http://a.example.com/", other)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {i: "T\n" + (LONG * 9).strip() for i in (0, 1, 2, 3, 4, 8)} | {9: "Own\n" + (LONG * 20).strip() + "\nshort box"}
+    assert {r.page_id: r.text for r in html_text.extract(df).collect()} == want
+    monkeypatch.setattr(html_text, "MAX_BROADCAST_BYTES", -1)
+    assert {r.page_id: r.text for r in html_text.extract(df).collect()} == want
+
+
+def test_made_pages_give_their_articles(spark):
+    rng = random.Random(4)
+    sentence = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(6, 20))) + "."
+    noise = [
+        "<nav><ul><li><a href='/'>Home page of the site</a></ul></nav>", "<aside><p>%s</p></aside>", "<div class='sidebar-%d'><p>%s</p></div>", "<form><p>%s</p><input></form>",
+        "<div class='ad banner'><p>%s</p></div>", "<div id='newsletter-box'>%s</div>", "<script>if (a<b) document.write('<p>x</p>')</script>", "<style>p > a {}</style>", "<!-- <p>%s</p> -->",
+        "<div role='navigation'><a href=x>%s</a></div>", "<section id='comments'><p>%s</p></section>", "<div hidden>%s</div>", "<noscript>%s</noscript>",
+    ]
+    clutter = lambda n: "".join(x.replace("%d", "7").replace("%s", sentence()) for x in rng.sample(noise, n))
+    shells = [
+        "<html><head><title>t</title></head><body><header><p>Site</p></header>{a}<div class='page'><div class='text-{n}'>{art}</div>{b}</div><footer>{s}</footer></body></html>",
+        "<body>{a}<main id=main>{art}</main>{b}<div class='site-footer'>{s}</div>",
+        "<body>{a}<div><article>{art}{b}</article></div><footer>{s}</footer></body>",
+    ]
+    rows, want = [], {}
+    for i in range(150):
+        paragraphs = [sentence() + " " + sentence() for _ in range(rng.randint(1, 8))]
+        blocks = ["Head & title", *paragraphs]
+        art = "<h1>Head &amp; <em>title</em></h1>" + "".join(rng.choice(["<p>%s</p>", "<p>%s", "<div class='row'><p>%s</p></div>", "<blockquote>%s</blockquote>", "<ul><li>%s</ul>", "<section><p>%s</p></section>"]) % p.replace(" ", rng.choice([" ", "\n  ", "&nbsp;"])) for p in paragraphs)
+        page = shells[i % 3].replace("{a}", clutter(4)).replace("{b}", clutter(4)).replace("{n}", str(i)).replace("{art}", art).replace("{s}", sentence())
+        rows.append((i, f"http://h{i % 5}.example.com/{i}", page))
+        want[i] = "\n".join(blocks)
     got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    assert got[9] == "short" and got[0].startswith("main text")
+    assert [i for i in want if got[i] != want[i]] == []
 
 
 def test_unescape_is_the_standard_one():
