@@ -102,9 +102,13 @@ def pieces(
 
 
 def assign_sequences(cut: DataFrame, window: int = WINDOW, group_pieces: int = GROUP_PIECES) -> DataFrame:
-    """The rows of ``cut`` (doc_id, start, length and any others) with sequence_id and offset; ``cut`` is read twice."""
+    """The rows of ``cut`` (a stored table: doc_id, start, length and any others) with sequence_id and offset; ``cut`` is read twice.
+
+    Pieces are dealt by their place in the table, so groups are of one size whatever ids are null or repeat. Ties of
+    length go by doc_id, nulls last, then start; of rows that repeat both, either may come first.
+    """
     groups = max(1, -(-cut.count() // group_pieces))
-    dealt = cut.withColumn("_group", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)))
+    dealt = cut.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
 
     def pack(rows):
         import pyarrow as pa

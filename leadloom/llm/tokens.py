@@ -6,6 +6,7 @@ import os
 import re
 import string
 import sys
+import unicodedata
 from array import array
 from functools import lru_cache
 
@@ -39,8 +40,9 @@ def tokenizer(name: str, folder: str | None = None):
 class Remembered:
     """Results of the tokenizer by piece of text, for pieces that it treats alike wherever they stand.
 
-    Letters and ASCII punctuation after them are never one pre-token, so such a piece is put together from both; a piece
-    that is one pre-token (``as_pretoken`` says how the model sees it) goes to the model at once.
+    Letters and ASCII punctuation after them are never one pre-token, so such a piece is put together from both if all its
+    letters are letters still once they are composed and lowered (a dotted capital I leaves a mark, which joins what
+    follows); a piece that is one pre-token (``as_pretoken`` says how the model sees it) goes to the model at once.
     """
 
     def __init__(self, name: str, folder: str | None, as_pretoken, of_ids):
@@ -53,7 +55,7 @@ class Remembered:
         made, plain = [], set()
         for piece in set().union(*texts).difference(known):
             core = piece.rstrip(PUNCTUATION)
-            if core and len(core) < len(piece) and core.lstrip(b" ").decode("utf-8").isalpha():
+            if core and len(core) < len(piece) and _stays_letters(core.lstrip(b" ")):
                 made.append((piece, core, piece[len(core) :]))
                 plain.update(made[-1][1:])
             else:
@@ -73,6 +75,10 @@ class Remembered:
         return known
 
 
+def _stays_letters(core: bytes) -> bool:
+    return core.isalpha() or unicodedata.normalize("NFC", core.decode("utf-8")).lower().isalpha()
+
+
 def _packed(ids: list[int]) -> bytes:
     out = array("I", ids)
     if sys.byteorder == "big":

@@ -1,4 +1,5 @@
 import random
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -39,6 +40,32 @@ def test_word_ids_equal_the_library():
         assert tokens.word_ids([x], packing.VOCABULARY) == [want]
 
 
+ASSIGNED = [c for c in map(chr, range(0x110000)) if unicodedata.category(c) not in ("Cs", "Cn", "Co")]
+
+
+@pytest.mark.parametrize("shape", ["ab%s,", "%s.", "x%sy!?", ",%s", "%s\u0301;"])
+def test_every_character_beside_punctuation(shape):
+    texts = [shape % c for c in ASSIGNED]
+    t = tokens.tokenizer(packing.VOCABULARY)
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [x for x, w, g in zip(texts, want, tokens.word_ids(texts, packing.VOCABULARY)) if w != g] == []
+    t = tokens.tokenizer(token_count.VOCABULARY)
+    want = [len(e.ids) for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [x for x, w, g in zip(texts, want, tokens.byte_counts(texts, token_count.VOCABULARY)) if w != g] == []
+
+
+def test_random_strings_of_odd_characters():
+    rng = random.Random(11)
+    odd = ["İ", "ß", "Σ", "ς", "\u0958", "\u0301", "e\u0301", "ﬁ", "ʼ", "'", "’s", "'S", ",", ".", "!", "<|", "|>", "1", "Ⅷ", "日", "\u200d", "\x85", "\xa0", " ", "\x1c", "a", "B", "<|endoftext|>"]
+    texts = ["".join(rng.choice(odd) for _ in range(rng.randint(1, 12))) for _ in range(20_000)]
+    t = tokens.tokenizer(packing.VOCABULARY)
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [x for x, w, g in zip(texts, want, tokens.word_ids(texts, packing.VOCABULARY)) if w != g] == []
+    t = tokens.tokenizer(token_count.VOCABULARY)
+    want = [len(e.ids) for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [x for x, w, g in zip(texts, want, tokens.byte_counts(texts, token_count.VOCABULARY)) if w != g] == []
+
+
 def test_best_fit_decreasing_against_a_plain_search():
     rng = random.Random(3)
     for window in (1, 7, 64, 100):
