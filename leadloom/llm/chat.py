@@ -16,38 +16,39 @@ from leadloom.llm.scratch import materialize, table
 TURN_START, TURN_END = "<|im_start|>", "<|im_end|>"
 
 
+#: Parts of the prefix hash, 60 bits each, cut from the SHA-256 of a turn.
+PARTS = ("h1", "h2", "h3", "h4")
+
+
 def _turn_hash(place: Column) -> list[Column]:
-    """Two independent 64-bit hashes of a turn at its place."""
+    """240 bits of the SHA-256 of a turn at its place, in four numbers."""
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    return [F.xxhash64(F.lit(salt), place, role, text) for salt in (11, 12)]
+    sha = F.sha2(F.concat_ws(":", place.cast("string"), F.length(role).cast("string"), role, text), 256)
+    return [F.conv(F.substring(sha, 1 + 15 * k, 15), 16, 10).cast("long") for k in range(len(PARTS))]
 
 
 def prefixes(turns: DataFrame) -> DataFrame:
-    """conv_id, place (1 for the first turn), n_turns and the rolling prefix hash (h1, h2) of each turn.
+    """conv_id, place (1 for the first turn), last (no turn follows) and the rolling prefix hash of each turn.
 
-    The rolling hash is a running exclusive or of place-salted turn hashes, so it is built from a sorted
-    stream of turns and never gathers a conversation.
+    The rolling hash is a running exclusive or of the hashes of turns at their places: a stream of turns sorted once, with one
+    turn of look-ahead. No frame reaches to the end of a conversation.
     """
     order = [F.col("turn").asc_nulls_last(), F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))]
     in_order = Window.partitionBy("conv_id").orderBy(*order)
-    placed = turns.withColumn("place", F.row_number().over(in_order))
-    first, second = _turn_hash(F.col("place"))
+    placed = turns.withColumns({"place": F.row_number().over(in_order), "last": F.lead("conv_id").over(in_order).isNull()})
     so_far = Window.partitionBy("conv_id").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy("conv_id").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    hashed = placed.select("conv_id", "place", first.alias("t1"), second.alias("t2"))
-    return hashed.select(
-        "conv_id", "place", F.max("place").over(whole).alias("n_turns"), F.bit_xor("t1").over(so_far).alias("h1"), F.bit_xor("t2").over(so_far).alias("h2")
-    )
+    hashed = placed.select("conv_id", "place", "last", *[h.alias(p) for p, h in zip(PARTS, _turn_hash(F.col("place")))])
+    return hashed.select("conv_id", "place", "last", *[F.bit_xor(p).over(so_far).alias(p) for p in PARTS])
 
 
 def maximal_conversations(turns: DataFrame) -> DataFrame:
     """conv_id of the conversations that stay, with n_turns and ``copies`` (equal conversations, itself included)."""
     rolled = materialize(prefixes(turns), "turn-prefixes")
-    whole = rolled.where("place = n_turns")
+    key = [F.col("place").alias("n_turns"), *PARTS]
     # Equal conversations are one class before anything is joined, so a much logged opening is one row on either side.
-    classes = whole.groupBy("n_turns", "h1", "h2").agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("copies"))
-    longer = rolled.where("place < n_turns").select(F.col("place").alias("n_turns"), "h1", "h2").distinct()
-    return classes.join(longer, ["n_turns", "h1", "h2"], "left_anti").select("conv_id", "n_turns", "copies")
+    classes = rolled.where("last").groupBy(*key).agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("copies"))
+    longer = rolled.where("not last").select(*key).distinct()
+    return classes.join(longer, ["n_turns", *PARTS], "left_anti").select("conv_id", "n_turns", "copies")
 
 
 def format_chats(

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leadloom.llm.scratch import materialize, table
@@ -18,14 +18,16 @@ DIMENSIONS = 512
 #: Letters share this many random vectors by code point; 0 stands for the edge of a word.
 LETTER_SLOTS = 1024
 SEED = 20240229
-#: Bound on the labelled documents that prototypes are learned from.
-MAX_TRAINING_ROWS = 12_000
+#: Bounds on what prototypes are learned from: documents of a language, and languages (the most frequent).
+MAX_ROWS_OF_LANGUAGE, MAX_LANGUAGES = 1_000, 1_000
 #: Turns cosines into shares: the softmax of cosine / SHARPNESS.
 SHARPNESS = 0.05
 #: Letters taken at a time from a very long text.
 BLOCK = 1 << 20
 #: Rows of n-gram vectors that a worker remembers.
 MAX_GRAMS = 40_000
+#: N-grams whose vectors are gathered at a time.
+SLICE = 8_192
 UNKNOWN = "und"
 
 
@@ -75,15 +77,13 @@ class GramTable:
         self.matrix, self.used = np.zeros((MAX_GRAMS, DIMENSIONS), dtype=np.float32), 0
 
     def of(self, grams):
-        """One row of the matrix for each of ``grams`` (sorted, distinct)."""
+        """One row of the matrix for each of ``grams`` (sorted, distinct, SLICE at most)."""
         import numpy as np
 
         at = np.minimum(np.searchsorted(self.grams, grams), max(len(self.grams) - 1, 0))
         new = grams if not len(self.grams) else grams[self.grams[at] != grams]
         if len(new):
             if self.used + len(new) > MAX_GRAMS:
-                if len(new) > MAX_GRAMS // 2:
-                    return _bound(grams)
                 self.forget()
                 return self.of(grams)
             self.matrix[self.used : self.used + len(new)] = _bound(new)
@@ -119,7 +119,8 @@ def document_vector(text: str | None):
         part = codes[lo : lo + BLOCK + 2]
         grams = part[:-2] << 20 | part[1:-1] << 10 | part[2:]
         grams, n = np.unique(grams[part[1:-1] != 0], return_counts=True)
-        total += n.astype(np.float32) @ _table().of(grams)
+        for k in range(0, len(grams), SLICE):
+            total += n[k : k + SLICE].astype(np.float32) @ _table().of(grams[k : k + SLICE])
     return total
 
 
@@ -129,12 +130,20 @@ def _unit(v):
     return v / max(float(np.linalg.norm(v)), 1e-12)
 
 
-def learn(docs: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> dict[str, list[float]]:
-    """Prototype of each non-null lang, from ``max_rows`` documents at most, chosen by a hash of doc_id among those whose
-    crc32(doc_id as text) mod 4 is not 2."""
+def learn(docs: DataFrame, max_rows: int = MAX_ROWS_OF_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> dict[str, list[float]]:
+    """Prototype of each non-null lang, from ``max_rows`` documents of it at most, chosen by a hash of doc_id among those whose
+    crc32(doc_id as text) mod 4 is not 2, so that a rare language is learned like a frequent one.
+
+    Of rows that repeat an id and lang the first text in order is read; ids may be of any type. A document without a letter
+    teaches nothing; without usable documents there are no prototypes.
+    """
     usable = docs.where("lang is not null and doc_id is not null and crc32(cast(doc_id as string)) % 4 <> 2")
-    ids = materialize(usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows), "language-sample")
-    sample = usable.join(F.broadcast(ids), "doc_id").select("lang", "text")  # max_rows ids at most
+    langs = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).select("lang")
+    named = usable.select("lang", "doc_id").join(F.broadcast(langs), "lang")
+    # The rank limit is applied on each side of the shuffle: max_rows rows of a language leave a task.
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    ids = materialize(named.distinct().withColumn("rank", rank).where(F.col("rank") <= max_rows).select("lang", "doc_id"), "language-sample")
+    sample = usable.join(F.broadcast(ids), ["lang", "doc_id"]).groupBy("lang", "doc_id").agg(F.min("text").alias("text")).select("lang", "text")
 
     def bundle(batches):
         import numpy as np

@@ -108,13 +108,14 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS)
     """(terms with weights, coefficients) from ``max_rows`` labelled rows at most, chosen by a hash of doc_id.
 
     Rows whose crc32(doc_id as text) mod 5 is 0 are never read. Labels that are null are no labels; of several for one
-    document the largest counts. Without both kinds of label there are no terms and every score is the base rate.
+    document the largest counts; of rows that repeat an id the first text in order is read. Ids may be of any type. Without both kinds of label there are no terms and every score is the base rate.
     """
     usable = labels.where("toxic is not null and doc_id is not null and crc32(cast(doc_id as string)) % 5 <> 0")
     picked = usable.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     picked = materialize(picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows), "toxicity-sample")
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # max_rows rows at most
-    texts = materialize(texts.withColumn("half", F.pmod(F.xxhash64(F.col("doc_id") + F.lit(1)), F.lit(2))), "toxicity-texts")
+    texts = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    texts = materialize(texts.withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2))), "toxicity-texts")
     first = texts.where("half = 0")
     size = {bool(r["toxic"]): r["count"] for r in first.groupBy("toxic").count().collect()}
     n_toxic, n_clean = size.get(True, 0), size.get(False, 0)
