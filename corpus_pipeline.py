@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.llm.exact_dedup import exact_dedup, text_digest
+from leadloom.llm.exact_dedup import drop_copies
 from leadloom.llm.packing import packed_digest
 from leadloom.llm.quality import score_quality
 from leadloom.llm.scratch import materialize, rows_of, table
@@ -25,15 +25,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each text: the longest original, then the smallest doc_id; of rows that repeat both, any one."""
-    found = exact_dedup(docs).where("kept")
-    kept = materialize(found.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest")).agg(F.count(F.lit(1)).alias("_n")), "kept-texts")
-    keyed = rows_of(docs).withColumn("_sha", text_digest(F.col("_row.text")))
-    joined = keyed.join(kept, F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_digest")))
-    if kept.where("_n > 1").isEmpty():
-        return joined.select("_row.*")
-    repeated = joined.where("_n > 1").withColumn("_same", F.col("_row.doc_id")).dropDuplicates(["_same", "_sha"])
-    return joined.where("_n = 1").select("_row.*").unionByName(repeated.select("_row.*"))
+    """One row of each text: the longest original, then the smallest doc_id; of rows that repeat both, one."""
+    return drop_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
