@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import xxhash
 from pyspark.sql import functions as F
 
-from leadloom.llm.exact_dedup import DigestIndex, digests, exact_dedup
+from leadloom.llm.exact_dedup import DigestIndex, digests, drop_copies, exact_dedup
 from leadloom.llm.similar import shingles
 from leadloom.llm.simhash import fingerprint, links, near_duplicates
 from tests.llm.conftest import ODD
@@ -17,17 +17,26 @@ def _norm(t):
 
 
 def test_exact_against_plain_python(odd):
+    """One row of each text is kept, also where rows repeat an id and text."""
     groups = defaultdict(list)
     for i, t, _ in ODD:
         groups[_norm(t)].append((-len(t or ""), i is None, i or 0, i))
     want = Counter()
-    for i, t, _ in ODD:
-        g = groups[_norm(t)]
-        keep = min(g)[3]
-        want[i, keep, len(g), i == keep, hashlib.sha256(_norm(t).encode()).hexdigest()] += 1
+    for t, rows in groups.items():
+        rows.sort(key=lambda r: r[:3])
+        for n, row in enumerate(rows):
+            want[row[3], rows[0][3], len(rows), n == 0, hashlib.sha256(t.encode()).hexdigest()] += 1
     assert Counter(tuple(r) for r in exact_dedup(odd).collect()) == want
 
 
+def test_exact_decides_on_rows(spark):
+    docs = spark.createDataFrame([("b", "x y"), ("b", "x  y"), (None, "z"), (None, "z"), ("a", "w")], "doc_id string, text string")
+    rows = exact_dedup(docs).collect()
+    assert Counter((r.doc_id, r.kept) for r in rows) == {("b", True): 1, ("b", False): 1, (None, True): 1, (None, False): 1, ("a", True): 1}
+    kept = drop_copies(docs)
+    assert kept.columns == docs.columns and Counter(map(tuple, kept.collect())) == {("b", "x  y"): 1, (None, "z"): 1, ("a", "w"): 1}
+
+
 def test_exact_empty_table(none):
     assert exact_dedup(none).collect() == []
 
