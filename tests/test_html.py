@@ -50,26 +50,36 @@ def test_review_rows(spark):
 
 
 def test_result_lists(spark):
-    bing = '<ol><li class="b_algo"><h2><a href="http://a.com">A</a></h2><p>said</p></li><li class="b_algo"><h2></h2></li><li class="b_algo"><h2><a href="http://b.com">B</a></h2></li></ol>'
+    bing = '<ol><li class="b_algo"><h2><a href="http://a.com">A</a></h2><p>date</p><div class="b_caption"><p>said</p></div></li><li class="b_algo"><h2></h2></li><li class="b_algo"><h2><a href="http://b.com">B</a></h2></li></ol>'
     assert [(r["rank"], r["title"], r["snippet"]) for r in html.result_list(bing, "bing")] == [(1, "A", "said"), (2, "B", None)]
-    ddg = '<div class="result"><a class="result__a" href="u">A</a></div><div class="result"></div><div class="result"><a class="result__a" href="v">B</a></div>'
-    assert [r["rank"] for r in html.result_list(ddg, "ddg")] == [1, 3]
+    ddg = '<table><tr><td><a class="result-link" href="u"><b>A</b> x</a></td></tr><tr><td><a class="result-link"></a><a class="result-link" href="v">B</a><a href="w">no</a></td></tr></table>'
+    assert [(r["rank"], r["title"], r["url"]) for r in html.result_list(ddg, "ddg")] == [(1, "Ax", "u"), (3, "B", "v")]
+    assert [r["rank"] for r in html.result_list(ddg, "ddg", 2)] == [1]
+    brave = '<div class="snippet"><a class="result-header" href="u"><span>A</span></a><a href="w">no</a></div><a class="result-header" href="">C</a><a class="x result-header" href="v">B</a>'
+    assert [(r["rank"], r["title"], r["url"]) for r in html.result_list(brave, "brave")] == [(1, "A", "u"), (2, "B", "v")]
+    pages = spark.createDataFrame([(ddg,), (None,)], "html string")
+    assert [r.source for r in html.search_results(pages, "ddg").collect()] == ["duckduckgo_serp"] * 2
     assert html.search_results(spark.createDataFrame([(bing,)], "html string"), "bing").count() == 2
 
 
-PARCEL = """<div class="card"><div class="card-header">Property Owner and Mailing Address</div><div>January 1 Owner:<br>DOE JANE<br>12 OAK ST<br>TOWN, TN 37000</div></div>
+PARCEL = """<div class="card"><div class="card-header">Property Owner and Mailing Address</div><div class="card-body"><div class="row"><div class="col">January 1 Owner</div></div><div class="col">DOE  JANE</div><p>aside</p><div class="col">12 OAK ST</div><div class="col">TOWN, TN 37000</div></div></div>
 <div class="card"><div class="card-header">Property Location</div><p>Address: 12 Oak St</p></div>
 <div class="card"><div class="card-header">Value Information</div><div><span>x</span></div><p>Land Market Value:</p><p>$10,500</p><p>Improvement Value: $90,000</p><p>Total Market Appraisal: $100,500</p></div>
 <div class="card"><div class="card-header">Sale Information</div><table><tr><th>Sale Date</th><th>Price</th></tr><tr><td>1/2/2020</td><td>$1,940</td></tr></table></div>
+<div class="card"><div class="card-header">Building Information - Residential</div><div class="card-body"><p class="detailsPage"><strong>Actual Year Built:</strong> 1940</p><p class="detailsPage"><strong>Square Feet of Living Area:</strong> 1,200</p><p class="detailsPage"><strong>Stories:</strong> 1.5 STORY</p><p class="detailsPage"><strong>Heat and AC:</strong> 8 - HEAT AND COOLING PKG</p><p class="detailsPage"><strong>Quality:</strong> AVERAGE</p><table class="table"><thead><tr><th>Areas</th><th>Square Feet</th></tr></thead><tbody><tr><td>BASE</td><td>1,000</td></tr></tbody></table><img class="buildingSketch" src="/s.png"></div></div>
 <a class="pdf-button" href="/x/Parcel/PrintPDF/1">pdf</a>"""
 
 
 def test_parcel_details(spark):
     got = html.parcel_details(PARCEL)
     assert (got["owner_name"], got["mailing_street"], got["mailing_city_state_zip"]) == ("DOE JANE", "12 OAK ST", "TOWN, TN 37000")
-    assert got["property_address"] == "12 Oak St" and got["links"] == {"pdf_path": "/x/Parcel/PrintPDF/1"}
+    assert got["property_address"] == "12 Oak St" and got["links"] == {"pdf_path": "/x/Parcel/PrintPDF/1", "pdf_url": "https://assessment.cot.tn.gov/x/Parcel/PrintPDF/1"}
     assert (got["market_land_value"], got["improvement_value"], got["total_value"]) == (10_500, 90_000, 100_500)
     assert got["sales"] == [{"Sale Date": "1/2/2020", "Price": "$1,940", "Price_num": "1940"}]
+    facts = got["building_facts"]
+    assert (facts["actual_year_built"], facts["sqft_living_area"], facts["stories"], facts["building_sketch_url"]) == (1940, 1200, 1.5, "/s.png")
+    assert facts["coded"]["heat_and_ac"] == {"raw": "8 - HEAT AND COOLING PKG", "code": "8", "desc": "HEAT AND COOLING PKG"} and facts["coded"]["quality"]["desc"] == "AVERAGE"
+    assert facts["areas"] == [{"area": "BASE", "sqft": 1000}] and facts["coded"]["condition"]["raw"] is None and html.parcel_details("")["building_facts"] is None
     row = html.parcel_records(spark.createDataFrame([(PARCEL,), (None,)], "html string")).collect()
     assert row[0].details.total_value == 100_500 and row[0].detail_hash != row[1].detail_hash
     assert html.stable_hash({"b": 1, "a": "é"}) == html.stable_hash({"a": "é", "b": 1})
