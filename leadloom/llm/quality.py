@@ -37,10 +37,7 @@ WORD_BREAK = r"[\x20\x09-\x0D]+"
 
 def _base(text: Column) -> dict[str, Column]:
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    return {
-        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]+", ""))).cast("long"),
-    }
+    return {"n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")}
 
 
 def _repeated_starts(keys: Column, words: Column) -> Column:
@@ -106,9 +103,9 @@ def counts(df: DataFrame, text_col: str = "text", lang_col: str | None = "lang",
         F.when(n >= 3, F.sequence(F.lit(0), n - 3)).otherwise(F.array().cast("array<int>")),
         lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)),
     )
-    common = F.filter("words", lambda w: F.array_contains("ref_words", F.lower(w)))
-    joined = F.concat(F.lit(" "), F.lower(F.array_join(common, "  ")), F.lit(" "))
-    t = t.withColumns({"windows": windows, "common": joined})
+    # A byte search of the whole text for each common word: looking every word up in their list takes many times as long.
+    joined = F.concat(F.lit(" "), F.lower(F.array_join("words", "  ")), F.lit(" "))
+    t = t.withColumns({"windows": windows, "joined": joined})
     keys = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     t = t.withColumn("keys", F.when(F.size(F.array_distinct("windows")) < F.size("windows"), keys))
     t = t.withColumn("starts", _repeated_starts(F.col("keys"), F.col("words")))
@@ -119,18 +116,20 @@ def counts(df: DataFrame, text_col: str = "text", lang_col: str | None = "lang",
         t = t.withColumn(f"left_{name}", F.regexp_replace(prev, pattern, ""))
         names.append((name, prev, f"left_{name}"))
         prev = f"left_{name}"
+    # Symbols are in no class, so all of them are left.
+    t = t.withColumn("no_symbols", F.regexp_replace(prev, r"[#*$%&|<>]+", ""))
     classes = [(F.length(a) - F.length(b)).alias(name) for name, a, b in names] + [F.length(prev).alias("other")]
     return t.select(
         "_row",
         "lang",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
-        "n_symbols",
+        (F.length(prev) - F.length("no_symbols")).cast("long").alias("n_symbols"),
         "n_dup_lines",
         "n_repeat_words",
         F.length("text").cast("long").alias("n_chars"),
         F.array(*[c.cast("double") for c in classes]).alias("class_counts"),
-        F.transform("ref_words", lambda w: _occurrences(F.col("common"), w)).alias("common_counts"),
+        F.transform("ref_words", lambda w: _occurrences(F.col("joined"), w)).alias("common_counts"),
     )
 
 
