@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from leadloom.llm import chat, exact_dedup, html_text, language_id, packing, quality, sentence_pieces, simhash, token_count, toxicity
+from leadloom.llm import chat, exact_dedup, html_text, language_id, ngram_join, packing, quality, sentence_pieces, simhash, token_count, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -15,8 +15,10 @@ QUERIES = {
     "op8_sentence_pieces": sentence_pieces.op8_sentence_pieces,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_ngram_join": ngram_join.op11_ngram_join,
 }
 ORACLES = {
     "op2_chat_format": chat.ORACLE,
     "op1_exact_dedup": exact_dedup.ORACLE,
+    "op11_ngram_join": ngram_join.ORACLE,
 }
