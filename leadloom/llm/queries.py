@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from leadloom.llm import chat, exact_dedup, html_text, language_id, ngram_join, packing, quality, sentence_pieces, simhash, token_count, toxicity
+from leadloom.llm import chat, exact_dedup, hard_negatives, html_text, language_id, ngram_join, packing, quality, sentence_pieces, simhash, spelling, token_count, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -16,9 +16,12 @@ QUERIES = {
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_ngram_join": ngram_join.op11_ngram_join,
+    "op12_spelling_variants": spelling.op12_spelling_variants,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 ORACLES = {
     "op2_chat_format": chat.ORACLE,
     "op1_exact_dedup": exact_dedup.ORACLE,
     "op11_ngram_join": ngram_join.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }
