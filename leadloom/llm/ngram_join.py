@@ -32,7 +32,7 @@ SKETCH_BITS, SKETCH_PARTS = 22, 256
 HASH_BITS = 58
 #: n-grams of a block, 2 MB of keys; a longer set is a block of its own.
 BLOCK_GRAMS = 1 << 18
-#: Classes whose keys are broadcast to filter the documents; beyond it the join shuffles.
+#: Classes whose numbers or keys (16 bytes) are broadcast to filter the documents; beyond it the join shuffles.
 MAX_BROADCAST_CLASSES = 500_000
 _SLICE_WORDS = 1 << 16
 
@@ -109,15 +109,20 @@ def sketch(texts: DataFrame, words: int) -> Broadcast:
         import numpy as np
         import pyarrow as pa
 
-        total = np.zeros(1 << SKETCH_BITS, np.uint64)
+        total, waiting, n = np.zeros(1 << SKETCH_BITS, np.uint64), [], 0
+
+        def add():
+            if waiting:
+                np.add(total, np.bincount(np.concatenate(waiting), minlength=1 << SKETCH_BITS).astype(np.uint64), out=total)
+
         for batch in batches:
             for text in batch.column(0):
-                found = shingles(text.as_py(), words)
-                if len(found) > 1 << 12:
-                    total += np.bincount((found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS).astype(np.uint64)
-                else:
-                    where, n = np.unique_counts(found >> np.uint64(64 - SKETCH_BITS))
-                    total[where.astype(np.int64)] += n.astype(np.uint64)
+                waiting.append((shingles(text.as_py(), words) >> np.uint64(64 - SKETCH_BITS)).astype(np.int32))
+                n += len(waiting[-1])
+                if n > 1 << SKETCH_BITS:
+                    add()
+                    waiting, n = [], 0
+        add()
         parts = [(k, zlib.compress(x.tobytes(), 1)) for k, x in enumerate(total.reshape(SKETCH_PARTS, width)) if x.any()]
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())], names=["part", "counts"])
 
@@ -241,7 +246,7 @@ class Tree:
         return found
 
 
-def tile_links(percent: int):
+def tile_links(words: int, percent: int, levels: Broadcast):
     """The function of a tile: links between its sides 0 and 1, or inside side 0 if that is all; as many as join its components."""
 
     def links(tile):
@@ -249,7 +254,7 @@ def tile_links(percent: int):
         import pyarrow as pa
 
         side, name, component = (tile.column(c).to_pylist() for c in ("side", "class", "component"))
-        sets = [np.frombuffer(x.as_py(), np.uint64) for x in tile.column("grams")]
+        sets = [ordered(shingles(text.as_py(), words), levels.value) for text in tile.column("text")]
         lengths = np.array([len(x) for x in sets])
         values, rank = np.unique(np.concatenate(sets), return_inverse=True)
         sets = np.split(rank, np.cumsum(lengths)[:-1])
@@ -275,14 +280,12 @@ def tile_links(percent: int):
     return links
 
 
-def _join_tiles(tiles: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links found in ``tiles`` (tile, side, class, component)."""
-    return tiles.join(sets, "class").select("tile", "side", "class", "component", "grams").groupBy("tile").applyInArrow(tile_links(percent), "a bigint, b bigint")
-
-
-def _star_tiles(members: DataFrame) -> DataFrame:
-    """Each list's first class on side 0, the list's other classes on side 1, in parts of about BLOCK_GRAMS."""
-    star = materialize(members.where("class <> first").select("first", "class", "n").distinct(), "stars")
+def _star_tiles(members: DataFrame, percent: int) -> DataFrame:
+    """Each list's first class on side 0, the list's other classes of fitting size on side 1, in parts of about BLOCK_GRAMS."""
+    star = members.where("class <> first").select("first", "class", "n").distinct()
+    first_n = members.where("class = first").groupBy("first").agg(F.first("n").alias("first_n"))
+    star = star.join(first_n, "first").where(100 * F.least("n", "first_n") >= percent * F.greatest("n", "first_n"))
+    star = materialize(star.select("first", "class", "n"), "stars")
     parts = star.groupBy("first").agg(F.ceil(F.sum("n") / F.lit(BLOCK_GRAMS)).alias("parts"))
     dealt = star.join(parts, "first").select("first", "class", F.xxhash64("first", F.pmod(F.xxhash64("class"), "parts")).alias("tile"))
     other = dealt.select("tile", F.lit(1).alias("side"), "class")
@@ -315,6 +318,11 @@ def _rest_tiles(members: DataFrame, component: DataFrame) -> DataFrame:
     return met.join(rows, ["gram", "block"]).select("tile", "side", "class", "component").distinct()
 
 
+def _bounded(keys: DataFrame) -> DataFrame:
+    """``keys``, marked for broadcast if they are MAX_BROADCAST_CLASSES at most; else the join shuffles."""
+    return F.broadcast(keys) if keys.limit(MAX_BROADCAST_CLASSES + 1).count() <= MAX_BROADCAST_CLASSES else keys
+
+
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row: the smallest doc_id that links of ``percent`` in a hundred reach.
 
@@ -324,7 +332,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     An empty table gives no rows; other columns are not read; texts of any length count whole, in slices of 65,536 words.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("key"), F.col(f"`{text_col}`").alias("text"))
+    text, name = F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.col(f"`{id_col}`").cast("string")
+    key = F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.length(name), F.lit(-1)), F.coalesce(name, F.lit("")), text)))
+    source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), key.alias("key"), text.alias("text"))
     levels = sketch(source, words)
 
     def read(batches):
@@ -343,7 +353,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], names=["row_no", "doc_id", "key", "n", "digest", "prefix"])
 
     numbered = source.select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "key", "text")
-    rows = materialize(numbered.mapInArrow(read, f"row_no bigint, doc_id {kind}, key bigint, n bigint, digest binary, prefix binary"), "ngram-sets")
+    rows = materialize(numbered.mapInArrow(read, f"row_no bigint, doc_id {kind}, key binary, n bigint, digest binary, prefix binary"), "ngram-sets")
     classes = rows.where("n > 0").groupBy("digest").agg(F.min("row_no").alias("class"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("size"))
     classes = materialize(classes, "ngram-classes")
 
@@ -359,31 +369,23 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 repeated = [np.repeat(batch.column(c).to_numpy()[lo : lo + 256], many) for c in (0, 1)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)), *map(pa.array, repeated)], names=["gram", "class", "n"])
 
-    of_class = rows.join(classes.select(F.col("class").alias("row_no")), "row_no", "left_semi").select("row_no", "n", "prefix")
-    postings = materialize(of_class.mapInArrow(spread, "gram bigint, class bigint, n bigint"), "ngram-postings")
+    of_class = rows.join(_bounded(classes.select(F.col("class").alias("row_no"))), "row_no", "left_semi").select("row_no", "n", "prefix")
+    postings = of_class.mapInArrow(spread, "gram bigint, class bigint, n bigint")
     heads = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("size"), F.min("class").alias("first")).where("size > 1")
     members = materialize(postings.join(heads, "gram"), "ngram-lists")
 
-    wanted = members.select("class").distinct().join(rows.select(F.col("row_no").alias("class"), "key", "digest"), "class")
-    wanted = materialize(wanted, "ngram-wanted")
-    small = wanted.limit(MAX_BROADCAST_CLASSES + 1).count() <= MAX_BROADCAST_CLASSES
-    texts = source.select("key", "text").join(F.broadcast(wanted.select("key")) if small else wanted.select("key"), "key", "left_semi")
-
-    def whole(batches):
-        import pyarrow as pa
-        import xxhash
-
-        for batch in batches:
-            found = [shingles(text.as_py(), words) for text in batch.column(1)]
-            made = [[xxhash.xxh3_128_digest(x.tobytes()) for x in found], [ordered(x, levels.value).tobytes() for x in found]]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, pa.binary()) for x in made]], names=["key", "digest", "grams"])
+    repeated = rows.groupBy("key").agg((F.count(F.lit(1)) > 1).alias("repeated"))
+    wanted = members.select("class").distinct().join(rows.select(F.col("row_no").alias("class"), "key"), "class").join(repeated, "key")
+    wanted = source.select("key", "text").join(_bounded(materialize(wanted, "ngram-wanted")), "key").select("class", "text", "repeated")
+    once = wanted.where("repeated").dropDuplicates(["class"])
+    texts = materialize(wanted.where("NOT repeated").unionByName(once).drop("repeated"), "ngram-wanted-texts")
 
-    sets = texts.mapInArrow(whole, "key bigint, digest binary, grams binary").join(wanted, ["key", "digest"])
-    sets = materialize(sets.groupBy("class").agg(F.first("grams").alias("grams")), "ngram-wanted-sets")
+    def links(tiles):
+        """Links found in ``tiles`` (tile, side, class, component)."""
+        return tiles.join(texts, "class").select("tile", "side", "class", "component", "text").groupBy("tile").applyInArrow(tile_links(words, percent, levels), "a bigint, b bigint")
 
-    edges = materialize(_join_tiles(_star_tiles(members), sets, percent), "ngram-star-links")
-    rest = _join_tiles(_rest_tiles(members, components(edges)), sets, percent)
-    edges = materialize(edges.unionByName(rest), "ngram-links")
+    edges = materialize(links(_star_tiles(members, percent)), "ngram-star-links")
+    edges = materialize(edges.unionByName(links(_rest_tiles(members, components(edges)))), "ngram-links")
     root = classes.join(components(edges), F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
     smallest = root.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = root.select("digest", "size", "root").join(smallest, "root").select("digest", "size", "component_id")
