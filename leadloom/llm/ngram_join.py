@@ -250,11 +250,13 @@ def tile_links(words: int, percent: int, levels: Broadcast):
     """The function of a tile: links between its sides 0 and 1, or inside side 0 if that is all; as many as join its components."""
 
     def links(tile):
+        import zlib
+
         import numpy as np
         import pyarrow as pa
 
         side, name, component = (tile.column(c).to_pylist() for c in ("side", "class", "component"))
-        sets = [ordered(shingles(text.as_py(), words), levels.value) for text in tile.column("text")]
+        sets = [ordered(shingles(zlib.decompress(x.as_py()).decode("utf-8", "surrogatepass"), words), levels.value) for x in tile.column("packed")]
         lengths = np.array([len(x) for x in sets])
         values, rank = np.unique(np.concatenate(sets), return_inverse=True)
         sets = np.split(rank, np.cumsum(lengths)[:-1])
@@ -293,11 +295,14 @@ def _star_tiles(members: DataFrame, percent: int) -> DataFrame:
     return first.unionByName(other).withColumn("component", F.col("class"))
 
 
-def _rest_tiles(members: DataFrame, component: DataFrame) -> DataFrame:
-    """Tiles of two blocks, or of one, that a list has in common, with the classes of such lists; none of a single component."""
+def _rest_tiles(members: DataFrame, component: DataFrame, percent: int) -> DataFrame:
+    """Tiles of two blocks, or of one, that a list has in common, with the classes of such lists; none of a single component.
+
+    The first n-gram that a pair has in common stands among the first ``n - required(n, n) + 1`` of the smaller set (``early``), so a class goes into a tile
+    only with classes beside it, in the same list, of a fitting size and the smaller ones early."""
     placed = members.join(component.select(F.col("node").alias("class"), "root"), "class", "left")
-    placed = placed.select("gram", "class", "n", "first", "size", F.col("root").isNull().alias("alone"), F.coalesce("root", "class").alias("component"))
-    digests = [F.bit_xor(F.xxhash64("class", F.lit(k))).alias(f"digest_{k}") for k in (0, 1)]
+    placed = placed.select("gram", "class", "n", "early", "first", "size", F.col("root").isNull().alias("alone"), F.coalesce("root", "class").alias("component"))
+    digests = [F.bit_xor(F.xxhash64("class", "early", F.lit(k))).alias(f"digest_{k}") for k in (0, 1)]
     lists = placed.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), *digests)
     apart = lists.where("lo < hi").groupBy("digest_0", "digest_1").agg(F.min("gram").alias("gram")).select("gram")  # of lists with the same classes, one
     placed = materialize(placed.join(apart, "gram", "left_semi"), "lists-apart")
@@ -306,16 +311,19 @@ def _rest_tiles(members: DataFrame, component: DataFrame) -> DataFrame:
     keyed = of_class.join(longest, "class", "left").withColumn("key", F.xxhash64("alone", F.coalesce("longest", "component")))
     parts = keyed.groupBy("key").agg(F.ceil(F.sum("n") / F.lit(BLOCK_GRAMS)).alias("parts"))
     block = keyed.join(parts, "key").select("class", F.xxhash64("key", F.pmod(F.xxhash64("class"), "parts")).alias("block"))
-    rows = materialize(placed.select("gram", "class", "component").join(block, "class"), "blocks")
-    held = rows.groupBy("gram", "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    held = materialize(held, "lists-of-blocks")
-    other = held.select("gram", *[F.col(c).alias(f"{c}_b") for c in ("block", "lo", "hi")])
+    rows = materialize(placed.select("gram", "class", "component", "n", "early").join(block, "class"), "blocks")
+    early = F.when(F.col("early"), F.col("n"))
+    ranges = {"lo": F.min("component"), "hi": F.max("component"), "n_lo": F.min("n"), "n_hi": F.max("n"), "early_lo": F.min(early), "early_hi": F.max(early)}
+    held = materialize(rows.groupBy("gram", "block").agg(*[c.alias(k) for k, c in ranges.items()]), "lists-of-blocks")
+    other = held.select("gram", *[F.col(c).alias(f"{c}_b") for c in ("block", *ranges)])
     met = held.join(other, "gram").where("block <= block_b AND (lo < hi OR lo_b < hi_b OR lo <> lo_b)")
-    met = materialize(met.select("gram", "block", "block_b", F.xxhash64("block", "block_b").alias("tile")), "tiles")
-    left = met.select("gram", "tile", F.lit(0).alias("side"), "block")
-    right = met.where("block < block_b").select("gram", "tile", F.lit(1).alias("side"), F.col("block_b").alias("block"))
-    met = left.unionByName(right)
-    return met.join(rows, ["gram", "block"]).select("tile", "side", "class", "component").distinct()
+    met = materialize(met.withColumn("tile", F.xxhash64("block", "block_b")), "tiles")
+    beside = ["n_lo", "n_hi", "early_lo", "early_hi"]
+    left = met.select("gram", "tile", F.lit(0).alias("side"), "block", *[F.col(f"{c}_b").alias(f"o_{c}") for c in beside])
+    right = met.where("block < block_b").select("gram", "tile", F.lit(1).alias("side"), F.col("block_b").alias("block"), *[F.col(c).alias(f"o_{c}") for c in beside])
+    smaller = f"early AND o_n_hi >= n AND {percent} * o_n_lo <= 100 * n"
+    larger = f"o_early_lo <= n AND 100 * o_early_hi >= {percent} * n"
+    return left.unionByName(right).join(rows, ["gram", "block"]).where(f"({smaller}) OR ({larger})").select("tile", "side", "class", "component").distinct()
 
 
 def _bounded(keys: DataFrame) -> DataFrame:
@@ -363,29 +371,42 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
         for batch in batches:
             keys = [np.frombuffer(x.as_py(), np.int64) for x in batch.column(2)]
-            count = [len(x) for x in keys]
+            names, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            early = sizes - required(sizes, sizes, percent) + 1
             for lo in range(0, len(keys), 256):
-                part, many = keys[lo : lo + 256], count[lo : lo + 256]
-                repeated = [np.repeat(batch.column(c).to_numpy()[lo : lo + 256], many) for c in (0, 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)), *map(pa.array, repeated)], names=["gram", "class", "n"])
+                part = keys[lo : lo + 256]
+                many = [len(x) for x in part]
+                at = np.concatenate([np.arange(n) for n in many])
+                repeated = [np.repeat(x[lo : lo + 256], many) for x in (names, sizes, early)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)), pa.array(repeated[0]), pa.array(repeated[1]), pa.array(at < repeated[2])], names=["gram", "class", "n", "early"])
+
+    def packed(batches):
+        import zlib
+
+        import pyarrow as pa
+
+        for batch in batches:
+            texts = [zlib.compress(x.as_py().encode("utf-8", "surrogatepass"), 1) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], names=["class", "packed"])
 
     of_class = rows.join(_bounded(classes.select(F.col("class").alias("row_no"))), "row_no", "left_semi").select("row_no", "n", "prefix")
-    postings = of_class.mapInArrow(spread, "gram bigint, class bigint, n bigint")
-    heads = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("size"), F.min("class").alias("first")).where("size > 1")
+    postings = of_class.mapInArrow(spread, "gram bigint, class bigint, n bigint, early boolean")
+    heads = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("size"), F.min("class").alias("first"), F.max("early").alias("any_early")).where("size > 1 AND any_early").drop("any_early")
     members = materialize(postings.join(heads, "gram"), "ngram-lists")
 
     repeated = rows.groupBy("key").agg((F.count(F.lit(1)) > 1).alias("repeated"))
     wanted = members.select("class").distinct().join(rows.select(F.col("row_no").alias("class"), "key"), "class").join(repeated, "key")
     wanted = source.select("key", "text").join(_bounded(materialize(wanted, "ngram-wanted")), "key").select("class", "text", "repeated")
     once = wanted.where("repeated").dropDuplicates(["class"])
-    texts = materialize(wanted.where("NOT repeated").unionByName(once).drop("repeated"), "ngram-wanted-texts")
+    texts = wanted.where("NOT repeated").unionByName(once).select("class", "text").mapInArrow(packed, "class bigint, packed binary")
+    texts = materialize(texts, "ngram-wanted-texts")
 
     def links(tiles):
         """Links found in ``tiles`` (tile, side, class, component)."""
-        return tiles.join(texts, "class").select("tile", "side", "class", "component", "text").groupBy("tile").applyInArrow(tile_links(words, percent, levels), "a bigint, b bigint")
+        return tiles.join(texts, "class").select("tile", "side", "class", "component", "packed").groupBy("tile").applyInArrow(tile_links(words, percent, levels), "a bigint, b bigint")
 
     edges = materialize(links(_star_tiles(members, percent)), "ngram-star-links")
-    edges = materialize(edges.unionByName(links(_rest_tiles(members, components(edges)))), "ngram-links")
+    edges = materialize(edges.unionByName(links(_rest_tiles(members, components(edges), percent))), "ngram-links")
     root = classes.join(components(edges), F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
     smallest = root.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = root.select("digest", "size", "root").join(smallest, "root").select("digest", "size", "component_id")
