@@ -1,13 +1,14 @@
 """Entity resolution.
 
 Every merge needs an equal domain, or an equal phone with a like name and an equal zip, and every veto an equal domain or phone. So
-records are joined on equal domains and phones only, connected components of those links are independent of
-each other, and the order-dependent merging runs inside each component.
+connected components of equal domains and phones are independent of each other, and the order-dependent merging runs inside each.
+Components are found over the distinct pairs of a domain and a phone, not over records. A component's records then stream through
+a task in their order: only entities are held, by domain and by phone, and each record leaves with the entity that it
+joined. A component of any size costs the memory of its entities; its time stays one task's, as each record depends on those before.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 
 from pyspark.sql import DataFrame
@@ -49,16 +50,19 @@ def candidate_pairs(records: DataFrame) -> DataFrame:
 
 
 def component_of(records: DataFrame) -> DataFrame:
-    """``ord`` and ``component`` of prepared records: linked through equal domains and phones, by way of the values rather than by pairs."""
-    values = records.select("ord", F.explode(F.array_compact(F.array(_value("d", "domain"), _value("p", "phone")))).alias("value"))
-    first = values.groupBy("value").agg(F.min("ord").alias("b"))  # each record is linked to the first with its value: no pairs in a group
-    edges = materialize(values.join(first, "value").where("ord <> b").select(F.col("ord").alias("a"), "b"), "record-links")
-    found = components(edges)
-    return records.join(found, F.col("ord") == F.col("node"), "left").select("ord", F.coalesce("root", "ord").alias("component"))
+    """``ord`` and ``component`` of prepared records: linked through equal domains and phones, by way of the values rather than by pairs.
+
+    A component is named by a hash of one of its values; a record without any by its own ord, which is not negative."""
+    values = records.select("ord", _value("d", "domain").alias("d"), _value("p", "phone").alias("p"))
+    edges = values.where("d IS NOT NULL AND p IS NOT NULL").select(F.col("d").alias("a"), F.col("p").alias("b")).distinct()
+    found = components(materialize(edges, "value-links")).select(F.col("node").alias("value"), "root")
+    mine = values.select("ord", F.coalesce("d", "p").alias("value"))
+    return mine.join(found, "value", "left").select("ord", F.coalesce("root", "value", "ord").alias("component"))
 
 
 def _value(kind: str, column: str):
-    return F.when(F.col(column) != "", F.concat(F.lit(f"{kind}:"), F.col(column)))
+    """A negative number for a domain or phone; if two should share it, their components are resolved together, with the same result."""
+    return F.when(F.col(column) != "", -1 - F.xxhash64(F.lit(kind), F.col(column)).bitwiseAND(F.lit((1 << 63) - 1)))
 
 
 def _ratio(a: str, b: str) -> float:
@@ -125,33 +129,143 @@ def merge_in_order(records: list[dict]) -> list[dict]:
     return entities
 
 
-ENTITY = (
-    "business_id string, canonical_name string, alias_names array<string>, phone_primary string, website string, founding_domain string, mailing_street string, mailing_city string, "
-    "mailing_state string, mailing_zip string, lat double, lng double, record_ords array<bigint>, merge_confidence int, merge_explanation array<string>"
-)
+class Entities:
+    """The entities of a component as its records come in, found by domain and by phone.
+
+    Gives what ``merge_in_order`` gives. An entity without the record's domain and phone can neither veto nor reach MERGE_SCORE, and a veto by any entity
+    decides whatever its place; so only those of the domain and the phone are asked, names once for each pair of
+    distinct names, and first the one that vetoed last.
+    """
+
+    def __init__(self):
+        self.all: list[dict] = []
+        self.of_domain: dict[str, list[dict]] = {}
+        self.of_phone: dict[str, list[dict]] = {}
+        self.names: dict[str, dict[str, None]] = {}
+        self.asked: dict[tuple[str, str], tuple[int, bool]] = {}
+        self.likeness: dict[tuple[str, str], float] = {}
+        self.far: dict[str, dict] = {}
+
+    def like(self, a: str, b: str) -> float:
+        key = (a, b) if a < b else (b, a)
+        if key not in self.likeness:
+            if len(self.likeness) > 1_000_000:
+                self.likeness.clear()
+            self.likeness[key] = _ratio(*key)
+        return self.likeness[key]
+
+    def name_conflict(self, domain: str, name: str) -> bool:
+        """Whether an entity of ``domain`` has a name unlike ``name``; each pair of names is compared once."""
+        names = self.names.get(domain, {})
+        upto, bad = self.asked.get((domain, name), (0, False))
+        if not bad and upto < len(names):
+            bad = any(self.like(name, other) < DOMAIN_NAME_LIKENESS for other in list(names)[upto:])
+            self.asked[domain, name] = (len(names), bad)
+        return bad
+
+    def too_far(self, record: dict) -> bool:
+        """Whether an entity with the record's phone is too far away."""
+        last = self.far.get(record["phone"])
+        here = lambda e: (km := _km(record, e)) is not None and km > PHONE_KM
+        if last is not None and here(last):
+            return True
+        for e in self.of_phone.get(record["phone"], ()):
+            if here(e):
+                self.far[record["phone"]] = e
+                return True
+        return False
+
+    def add(self, record: dict) -> dict:
+        """The entity that ``record`` joins or founds."""
+        name, domain, phone = record["name"], record["domain"], record["phone"]
+        best, score, why = None, 0, []
+        if not ((domain and name and self.name_conflict(domain, name)) or (phone and self.too_far(record))):
+            near = {e["no"]: e for e in (*self.of_domain.get(domain, ()), *self.of_phone.get(phone, ()))} if domain or phone else {}
+            for no in sorted(near):
+                got = self._score(record, near[no])
+                if got[0] > score:
+                    best, (score, why) = near[no], got
+        if best is None or score < MERGE_SCORE:
+            raw = record["raw_company_name"]
+            best = record | {"no": len(self.all), "founder": record["ord"], "aliases": {raw: None} if raw else {}, "founding_domain": domain}
+            self.all.append(best)
+            self._index(best, domain, phone)
+            score, why = 100, ["initial entity"]
+        else:
+            if name:
+                best["aliases"].setdefault(name)
+            fresh_domain, fresh_phone = domain if not best["domain"] else None, phone if not best["phone"] else None
+            best["domain"], best["phone"] = best["domain"] or domain, best["phone"] or phone
+            self._index(best, fresh_domain, fresh_phone)
+        best["confidence"], best["why"] = score, why
+        return best
+
+    def _index(self, entity: dict, domain: str | None, phone: str | None) -> None:
+        if domain:
+            self.of_domain.setdefault(domain, []).append(entity)
+            if entity["name"]:
+                self.names.setdefault(domain, {}).setdefault(entity["name"])
+        if phone:
+            self.of_phone.setdefault(phone, []).append(entity)
+
+    def _score(self, record: dict, entity: dict) -> tuple[int, list[str]]:
+        """As ``match``, for an entity that does not veto."""
+        score, why = 0, []
+        if record["name"] and entity["name"] and (likeness := self.like(record["name"], entity["name"])) >= NAME_LIKENESS:
+            score += 30
+            why.append(f"name similarity {likeness}%")
+        for field, points, reason in (("domain", 35, "exact domain match"), ("phone", 30, "phone match"), ("mailing_zip", 10, "ZIP match")):
+            if record[field] and record[field] == entity[field]:
+                score += points
+                why.append(reason)
+        return score, why
+
+
 _INPUT = ("ord", "raw_company_name", "name", "phone", "domain", "mailing_street", "mailing_city", "mailing_state", "mailing_zip", "lat", "lng")
+_ENTITY = (
+    "canonical_name string, alias_names array<string>, phone_primary string, website string, founding_domain string, mailing_street string, mailing_city string, "
+    "mailing_state string, mailing_zip string, lat double, lng double, merge_confidence int, merge_explanation array<string>"
+)
+
+
+def _stream(batches):
+    """Rows (component and _INPUT, by component and ord) to founder and ord of each record, and one row without ord for each entity."""
+    import pyarrow as pa
+
+    text, texts = pa.string(), pa.list_(pa.string())
+    kinds = [pa.int64(), pa.int64(), text, texts, *[text] * 7, pa.float64(), pa.float64(), pa.int32(), texts]
+    names = ["founder", "ord", *[f.strip().split(" ")[0] for f in _ENTITY.split(", ")]]
+
+    def made(joined: list[tuple], entities: list[dict]):
+        rows = [(f, o, *[None] * 13) for f, o in joined]
+        for e in entities:
+            own = [e[c] for c in ("founding_domain", "mailing_street", "mailing_city", "mailing_state", "mailing_zip", "lat", "lng")]
+            rows.append((e["founder"], None, e["raw_company_name"], list(e["aliases"]), e["phone"], e["domain"], *own, e["confidence"], e["why"]))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 15, kinds)], names=names)
+
+    component, held = None, Entities()
+    for batch in batches:
+        joined = []
+        for row in batch.to_pylist():
+            if row["component"] != component:
+                for at in range(0, len(held.all), 10_000):
+                    yield made([], held.all[at : at + 10_000])
+                component, held = row["component"], Entities()
+            joined.append((held.add({c: row[c] for c in _INPUT})["founder"], row["ord"]))
+        yield made(joined, [])
+    for at in range(0, len(held.all), 10_000):
+        yield made([], held.all[at : at + 10_000])
 
 
 def resolve_entities(records: DataFrame) -> DataFrame:
-    """Entities of normalised records (raw_company_name, raw_phone, raw_website, mailing fields, lat, lng, ``ord``): one row each, with the
-    members' ords. The id is a hash of the founder's ord. A component is as large as the chain of equal domains and phones in it."""
-    p = materialize(prepared(records).select(*_INPUT), "resolver-records")
-    grouped = p.join(component_of(p), "ord")
-
-    def of_component(table):
-        import pyarrow as pa
-
-        rows = sorted(table.select(_INPUT).to_pylist(), key=lambda r: r["ord"])
-        out = []
-        for e in merge_in_order(rows):
-            ids = {"business_id": hashlib.md5(str(e["members"][0]).encode()).hexdigest(), "canonical_name": e["raw_company_name"], "alias_names": e["aliases"]}
-            own = {c: e[c] for c in ("founding_domain", "mailing_street", "mailing_city", "mailing_state", "mailing_zip", "lat", "lng")}
-            out.append(ids | {"phone_primary": e["phone"], "website": e["domain"]} | own | {"record_ords": e["members"], "merge_confidence": e["confidence"], "merge_explanation": e["why"]})
-        text, texts = pa.string(), pa.list_(pa.string())
-        kinds = [text, text, texts, text, text, text, text, text, text, text, pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.int32(), texts]
-        names = [f.strip().split(" ")[0] for f in ENTITY.split(", ")]
-        return pa.table({n: pa.array([e[n] for e in out], k) for n, k in zip(names, kinds)})
-
-    entities = grouped.groupBy("component").applyInArrow(of_component, ENTITY)
+    """Entities of normalised records (raw_company_name, raw_phone, raw_website, mailing fields, lat, lng, ``ord``: not negative, each once): one
+    row each, with the members' ords. The id is a hash of the founder's ord."""
+    p = prepared(records).withColumns({c: F.col(c).cast("double") for c in ("lat", "lng")})
+    p = materialize(p.select(*_INPUT), "resolver-records")
+    ordered = p.join(component_of(p), "ord").select("component", *_INPUT).repartition("component").sortWithinPartitions("component", "ord")
+    found = materialize(ordered.mapInArrow(_stream, f"founder bigint, ord bigint, {_ENTITY}"), "resolved")
+    members = found.where("ord IS NOT NULL").groupBy("founder").agg(F.array_sort(F.collect_list("ord")).alias("record_ords"))
+    entities = found.where("ord IS NULL").drop("ord").join(members, "founder").withColumn("business_id", F.md5(F.col("founder").cast("string")))
     key = resolver_key(F.col("founding_domain"), F.lit(None).cast("string"), F.col("canonical_name"), F.col("mailing_street"), F.col("mailing_zip"))
-    return entities.withColumn("dedupe_key", key).drop("founding_domain")
+    names = "business_id canonical_name alias_names phone_primary website mailing_street mailing_city mailing_state mailing_zip lat lng record_ords merge_confidence merge_explanation".split()
+    return entities.select(*names, key.alias("dedupe_key"))
