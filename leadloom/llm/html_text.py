@@ -33,12 +33,12 @@ NEVER = frozenset("nav footer aside form menu dialog button fieldset head".split
 MARKS = frozenset(
     "nav navbar navigation menu sidebar side ad ads advert adverts advertisement sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay "
     "newsletter subscribe subscription signup share sharing social related recommended recommendations comment comments commentlist reply replies respond disqus footer header masthead breadcrumb "
-    "breadcrumbs pagination pager widget toolbar login search skip copyright complementary contentinfo tags".split()
+    "breadcrumbs pagination pager widget toolbar login search skip copyright complementary contentinfo tags adsbygoogle outbrain taboola".split()
 )
 # Words that say nothing beside a mark in a compound name.
 LAYOUT = frozenset(
-    "area article articles bar block body bottom box btn bundle button buttons center col column container content desktop entry foot global group head holder icon icons inner item items layer layout left link "
-    "links list lists main message mobile module nested outer page panel placeholder post posts primary region right row secondary section site slot stories story text title top unit user wrap wrapper zone".split()
+    "area article articles bar block body bottom box btn bundle button buttons center col column container content desktop entry foot form global group head holder icon icons inner item items layer layout left link "
+    "links list lists main message mobile module nested outer page panel placeholder post posts primary region right row secondary section site slot stories story text thread title top unit user wrap wrapper zone".split()
 )
 # Words that make a header the article's own, and names of reader comments.
 TITLED, COMMENTS = frozenset("article post entry story content page main title".split()), frozenset("comment comments commentlist respond disqus replies".split())
@@ -84,21 +84,32 @@ def _marked(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
 
 def _mark(name: str) -> bool:
     """Whether a class, id or role marks what is not the article: "sidebar" and "post-comments" do, "has-sidebar" and "post-header" do not."""
-    words = {w.lower() for w in _NAME_PART.findall(name) if len(w) > 1}
+    words = {part for w in _NAME_PART.findall(name) if len(w) > 1 for part in _cut(w.lower())}
     found = words & MARKS
     if found == {"header"} and words & TITLED:
         return False
     return bool(found) and words <= MARKS | LAYOUT
 
 
+def _cut(word: str) -> tuple[str, ...]:
+    """A word, or the two of layout or of a mark that are joined in it ("cookiebar")."""
+    known = MARKS | LAYOUT
+    if word in known or len(word) < 6:
+        return (word,)
+    return next(((word[:k], word[k:]) for k in range(3, len(word) - 2) if word[:k] in known and word[k:] in known), (word,))
+
+
 class Page:
     """Containers (parent, path, is it an article) and text blocks (container, text, weight, is it a title) in page order.
 
+    A path is a number: containers of one parent path and one generalised name share it. Time and memory are linear in the page.
+
     The weight of a block is its characters outside links if they are its greater part (prose), all of them for a heading, else 0."""
 
     def __init__(self, html: str):
         for self.marks in (True, False):  # a page that is nothing but marked elements is read without minding the marks
-            self.parent, self.path, self.article, self.holder = [-1], [""], [False], [False]
+            self.parent, self.path, self.article, self.holder = [-1], [0], [False], [False]
+            self.paths: dict[tuple[int, str], int] = {}
             self.blocks: list[tuple[int, str, int, bool]] = []
             self.marked = False
             self._read(html)
@@ -106,7 +117,8 @@ class Page:
                 break
 
     def _read(self, html: str) -> None:
-        stack: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, container, excluded
+        stack: list[tuple[str, int, str]] = [("", 0, "")]  # tag, container, tag of what excludes it
+        opened: dict[str, int] = {}
         parts: list[str] = []
         state = {"linked": 0, "in_link": False, "heading": ""}
 
@@ -147,20 +159,25 @@ class Page:
             elif tag in BLOCKS:
                 state["heading"] = ""
             if closing:
-                self._close(stack, tag, flush)
+                self._close(stack, opened, tag)
             elif tag not in VOID:
-                self._open(stack, tag, m["attrs"] or m["attrs2"] or "", flush)
+                self._open(stack, opened, tag, m["attrs"] or m["attrs2"] or "", flush)
         if at < len(html):
             words(html[at:])
         flush()
 
-    def _open(self, stack: list, tag: str, raw: str, flush) -> None:
+    def _open(self, stack: list, opened: dict, tag: str, raw: str, flush) -> None:
+        def push(container: int, excluded: str) -> None:
+            stack.append((tag, container, excluded))
+            opened[tag] = opened.get(tag, 0) + 1
+
         if tag in BLOCKS and stack[-1][0] == "p":
             stack.pop()
+            opened["p"] -= 1
         _, container, excluded = stack[-1]
         if excluded:
-            if tag == next(t for t, _, x in stack if x):
-                stack.append((tag, container, True))
+            if tag == excluded:
+                push(container, excluded)
             return
         attrs = _attributes(raw) if "=" in raw else {}
         own = tag in ("html", "body", "main", "article")
@@ -169,26 +186,24 @@ class Page:
         self.marked |= marked
         if marked or tag in NEVER or "hidden" in raw.split() or (tag == "header" and not in_article):
             flush()
-            stack.append((tag, container, True))
+            push(container, tag)
         elif tag in CONTAINERS:
-            kinds = sorted(_DIGITS.sub("#", c) for c in attrs.get("class", "").split())
+            kinds = sorted(_DIGITS.sub("#", c).replace(">", "#") for c in attrs.get("class", "").split())
             article = tag == "article" or "articleBody" in attrs.get("itemprop", "")
             named = tag not in ("html", "body") and {*attrs.get("class", "").lower().split(), attrs.get("id", "").lower()} & HOLDERS
             self.parent.append(container)
-            self.path.append(self.path[container] + ">" + ".".join([tag, *kinds]))
+            self.path.append(self.paths.setdefault((self.path[container], ".".join([tag, *kinds])), len(self.paths) + 1))
             self.article.append(article)
             self.holder.append(in_article or article or tag == "main" or bool(named) or attrs.get("role") == "main")
-            stack.append((tag, len(self.path) - 1, False))
-
-    def _close(self, stack: list, tag: str, flush) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] == tag:
-                if stack[k][2]:
-                    flush()
-                del stack[k:]
-                return
-            if stack[k][2] and not stack[k - 1][2] and tag not in CONTAINERS:
-                return  # a stray end tag does not end what is excluded around it
+            push(len(self.path) - 1, "")
+
+    def _close(self, stack: list, opened: dict, tag: str) -> None:
+        if not opened.get(tag) or (stack[-1][2] not in ("", tag) and tag not in CONTAINERS):
+            return  # a stray end tag, also within what is excluded around it, ends nothing
+        was = None
+        while was != tag:
+            was = stack.pop()[0]
+            opened[was] -= 1
 
     def _sums(self) -> tuple[list[int], list[int]]:
         """Prose characters and titles under each container."""
@@ -204,31 +219,49 @@ class Page:
     def best(self) -> int:
         """The lowest container that holds all prose and headings; or an article that holds most of it with all titles."""
         prose, titles = self._sums()
+        whole: dict[int, int] = {}  # a container's first child that holds all of it
+        last = list(range(len(prose)))  # containers come in page order: those under k are k + 1 to last[k]
+        for k in range(len(prose) - 1, 0, -1):
+            p = self.parent[k]
+            last[p] = max(last[p], last[k])
+            if prose[k] == prose[p] and titles[k] == titles[p]:
+                whole[p] = k
         at = 0
-        while prose[0]:
-            below = [k for k in range(at + 1, len(prose)) if self.parent[k] == at and prose[k] == prose[at] and titles[k] == titles[at]]
-            if not below:
-                break
-            at = below[0]
+        while prose[0] and at in whole:
+            at = whole[at]
         for k in range(at + 1, len(prose)):
-            if self.article[k] and prose[k] >= ARTICLE_SHARE * prose[at] > 0 and titles[k] == titles[at] and self._under(k, at):
+            if self.article[k] and prose[k] >= ARTICLE_SHARE * prose[at] > 0 and titles[k] == titles[at] and k <= last[at]:
                 at = k
         return at
 
-    def _under(self, k: int, top: int) -> bool:
-        while k > top:
-            k = self.parent[k]
-        return k == top
+    def _name(self, path: int) -> str:
+        """A path in full."""
+        up = {number: key for key, number in self.paths.items()}
+        names = []
+        while path:
+            path, name = up[path]
+            names.append(">" + name)
+        return "".join(reversed(names))
+
+    def _number(self, name: str) -> int | None:
+        """The number of a path in full; None if the page has none such."""
+        at: int | None = 0
+        for step in name.split(">")[1:]:
+            at = self.paths.get((at, step))
+            if at is None:
+                return None
+        return at
 
     def vote(self) -> tuple[str, float] | None:
         """(path, score) of the best container: 1, as its prose is most or all of the page's; None without prose."""
         prose, _ = self._sums()
         at = self.best()
-        return (self.path[at], round(prose[at] / prose[0], 6)) if prose[0] else None
+        return (self._name(self.path[at]), round(prose[at] / prose[0], 6)) if prose[0] else None
 
     def text_under(self, path: str | None) -> str:
         """Blocks under the containers at ``path`` if they hold most of the prose and every title, else under the page's own best container."""
-        inside = [p == path for p in self.path] if path is not None else [False]
+        number = self._number(path) if path is not None else None
+        inside = [p == number for p in self.path] if number is not None else [False]
         if any(inside):
             for k in range(1, len(inside)):
                 inside[k] = inside[k] or inside[self.parent[k]]

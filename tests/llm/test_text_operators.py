@@ -310,3 +310,42 @@ def test_chat_ties_and_missing_turn_numbers(spark):
     rows = [(1, 1, "b", "y"), (1, 1, "a", "x"), (1, None, "c", "z"), (1, 1, "a", "x")]
     got = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).first()
     assert re.findall(r"start\|>(\w)", got.text) == ["a", "a", "b", "c"] and got.n_turns == 4
+
+
+def test_reading_deeply_nested_pages_is_linear():
+    import time
+    import tracemalloc
+
+    pages = {
+        "<div>" * 100_000 + "<p>some words" + "</div>" * 100_000: "some words", "<div>" * 100_000 + "x" + "</span>" * 100_000: "x", "<article>" * 50_000 + "<p>words": "words",
+        "<b><nav>" + "<nav>" * 100_000 + "</b>" * 100_000: "", "<div class='a>b'><p>in it</div>" * 2: "in it\nin it",
+    }
+    for page, want in pages.items():
+        began = time.process_time()
+        found = html_text.Page(page)
+        vote = found.vote()
+        assert found.text_under(vote and vote[0]) == want and time.process_time() - began < 5
+    tracemalloc.start()
+    html_text.Page("<div>" * 100_000 + "<p>some words").vote()
+    assert tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
+
+
+@pytest.mark.parametrize("name", ["comment-thread", "comment-form", "adsbygoogle", "cookiebar", "topnav", "outbrain"])
+def test_clutter_in_an_article_goes(name):
+    page = html_text.Page(f"<article><h1>Title</h1><p>{LONG}</p><div class='{name}'><p>clutter</p></div><p>end of it</p></article>")
+    assert page.text_under(None) == f"Title\n{LONG.strip()}\nend of it"
+
+
+def test_digits_are_folded_as_a_pattern_for_each_digit_does():
+    """The plain rule: a digit stands for a letter before digits that end in one, or right after a letter, but for an 8 that ends a word."""
+    import time
+
+    plain = re.compile(r"[0134578](?=[0-9]*[^\W\d_])|(?<=[^\W\d_])[0134578](?=[^\W_])|(?<=[^\W\d_])[013457](?![^\W_])")
+    rng = random.Random(9)
+    for _ in range(20_000):
+        s = "".join(rng.choice("a80135 79é٣_.-x") for _ in range(rng.randint(0, 10)))
+        assert toxicity._DIGITS.sub(toxicity._letters_for, s) == plain.sub(lambda m: m[0].translate(toxicity.SUBSTITUTES), s)
+    began = time.process_time()
+    assert toxicity.fold("1" * 1_000_000) == " " and len(toxicity.fold("a" + "1" * 1_000_000)) > 2
+    assert time.process_time() - began < 2
