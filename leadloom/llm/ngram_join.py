@@ -391,7 +391,10 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     of_class = rows.join(_bounded(classes.select(F.col("class").alias("row_no"))), "row_no", "left_semi").select("row_no", "n", "prefix")
     postings = of_class.mapInArrow(spread, "gram bigint, class bigint, n bigint, early boolean")
-    heads = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("size"), F.min("class").alias("first"), F.max("early").alias("any_early")).where("size > 1 AND any_early").drop("any_early")
+    sizes = [F.min("n").alias("n_lo"), F.max("n").alias("n_hi"), F.min(F.when(F.col("early"), F.col("n"))).alias("early_lo")]
+    heads = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("size"), F.min("class").alias("first"), *sizes)
+    # A list of two matters if they are of fitting size and the smaller has the n-gram early; a longer one if any has.
+    heads = heads.where(f"early_lo IS NOT NULL AND (size > 2 OR (size = 2 AND early_lo = n_lo AND {percent} * n_hi <= 100 * n_lo))").select("gram", "size", "first")
     members = materialize(postings.join(heads, "gram"), "ngram-lists")
 
     repeated = rows.groupBy("key").agg((F.count(F.lit(1)) > 1).alias("repeated"))
