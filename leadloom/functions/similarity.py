@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from leadloom.functions.binding import together
 from leadloom.functions.text import name_canonical, name_resolver
 from leadloom.functions.urls import blank_to_null, domain_resolver, strip
 
@@ -56,9 +57,10 @@ def token_sort_ratio(a: Column, b: Column) -> Column:
 def token_overlap(a: Column, b: Column) -> Column:
     """Shared words of two canonical names in per cent of the shorter one."""
     words = lambda c: F.array_distinct(F.filter(F.split(name_canonical(c), " "), lambda t: t != ""))
-    x, y = words(a), words(b)
-    shared = F.size(F.array_intersect(x, y))
-    return F.when(shared > 0, F.bround(100.0 * shared / F.least(F.size(x), F.size(y)), 0).cast("int")).otherwise(F.lit(0))
+    said = {"x": words(a), "y": words(b)}
+    counts = lambda s: {"shared": F.size(F.array_intersect(s["x"], s["y"])), "shorter": F.least(F.size(s["x"]), F.size(s["y"]))}
+    ratio = lambda n: F.when(n["shared"] > 0, F.bround(100.0 * n["shared"] / n["shorter"], 0).cast("int")).otherwise(F.lit(0))
+    return together(said, lambda s: together(counts(s), ratio))
 
 
 def resolver_key(website: Column, domain: Column, name: Column, street: Column, zip_code: Column) -> Column:

@@ -27,7 +27,7 @@ def squish(c: Column) -> Column:
 
 def phone_lax(c: Column) -> Column:
     """Ten digits wherever three, three and four follow each other with anything but digits between. For short fields only."""
-    return F.when(c.rlike(LAX_PHONE), F.concat(*[F.regexp_extract(c, LAX_PHONE, i) for i in (1, 2, 3)]))
+    return F.when(c.rlike(r"\d{3}") & c.rlike(LAX_PHONE), F.concat(*[F.regexp_extract(c, LAX_PHONE, i) for i in (1, 2, 3)]))
 
 
 def phone_resolver(c: Column) -> Column:

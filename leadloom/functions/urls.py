@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadloom.functions.binding import filled, once
+
 NETLOC = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 #: Query keys of redirect wrappers, in the order in which they are tried.
 REDIRECT_KEYS = ("url", "u", "dest", "destination", "redirect")
@@ -26,7 +28,7 @@ def netloc(url: Column) -> Column:
 
 def hostname(url: Column) -> Column:
     """Lower-case host without user and port; null where there is none."""
-    return blank_to_null(F.lower(F.regexp_extract(netloc(url), r"^(?:.*@)?([^:]*)", 1)))
+    return filled(F.lower(F.regexp_extract(netloc(url), r"^(?:.*@)?([^:]*)", 1)))
 
 
 def _replace_first(c: Column, what: str) -> Column:
@@ -42,16 +44,14 @@ def domain_resolver(url: Column) -> Column:
 
 def domain_discovery(url: Column) -> Column:
     """Network location for website discovery: only a bare domain gets a scheme; the first "www." goes, a port stays."""
-    u = strip(url)
-    full = F.when(u.contains("://") | u.contains("/"), u).otherwise(F.concat(F.lit("https://"), u))
-    return F.when(u != "", blank_to_null(_replace_first(strip(F.lower(netloc(full))), "www.")))
+    full = lambda u: F.when(u.contains("/"), u).otherwise(F.concat(F.lit("https://"), u))
+    return once(strip(url), lambda u: F.when(u != "", once(strip(F.lower(netloc(full(u)))), lambda d: filled(_replace_first(d, "www.")))))
 
 
 def domain_expansion(url: Column) -> Column:
     """Host for company expansion: a scheme is added where "://" is missing; a leading "www." goes."""
-    u = strip(url)
-    full = F.when(u.contains("://"), u).otherwise(F.concat(F.lit("https://"), u))
-    return F.when(u != "", blank_to_null(F.regexp_replace(hostname(full), r"^www\.", "")))
+    full = lambda u: F.when(u.contains("://"), u).otherwise(F.concat(F.lit("https://"), u))
+    return once(strip(url), lambda u: F.when(u != "", filled(F.regexp_replace(hostname(full(u)), r"^www\.", ""))))
 
 
 def domain_bing(url: Column) -> Column:
@@ -67,22 +67,21 @@ def domain_ddg(url: Column) -> Column:
 
 
 def _decoded(c: Column) -> Column:
-    return F.coalesce(F.try_url_decode(c), c)
+    return once(c, lambda v: F.coalesce(F.try_url_decode(v), v))
 
 
 def unwrap_redirect(url: Column) -> Column:
     """Target of a redirect wrapper (the first of REDIRECT_KEYS, decoded twice), else the URL itself."""
-    u = strip(url)
-    query = F.regexp_extract(u, r"^[^?#]*\?([^#]*)", 1)
-    once = F.coalesce(*[blank_to_null(_decoded(F.regexp_extract(query, rf"(?:^|&){k}=([^&]*)", 1))) for k in REDIRECT_KEYS])
-    return F.coalesce(_decoded(F.replace(once, F.lit("+"), F.lit("%2B"))), u)
+    given = lambda query: F.coalesce(*[filled(_decoded(F.regexp_extract(query, rf"(?:^|&){k}=([^&]*)", 1))) for k in REDIRECT_KEYS])
+    target = lambda u: once(F.regexp_extract(u, r"^[^?#]*\?([^#]*)", 1), lambda query: F.when(query != "", given(query)))
+    return once(strip(url), lambda u: F.coalesce(_decoded(F.replace(target(u), F.lit("+"), F.lit("%2B"))), u))
 
 
 def tidy_url(unwrapped: Column) -> Column:
     """An unwrapped URL without fragment, with a scheme where it is protocol-relative or a bare domain; blank is null."""
-    u = blank_to_null(F.regexp_replace(unwrapped, "#.*$", ""))
-    bare = ~u.contains("://") & u.contains(".") & ~u.contains(" ")
-    return F.when(u.startswith("//"), F.concat(F.lit("https:"), u)).when(bare, F.concat(F.lit("https://"), u)).otherwise(u)
+    bare = lambda u: ~u.contains("://") & u.contains(".") & ~u.contains(" ")
+    full = lambda u: F.when(u.startswith("//"), F.concat(F.lit("https:"), u)).when(bare(u), F.concat(F.lit("https://"), u)).otherwise(u)
+    return once(F.regexp_replace(unwrapped, "#.*$", ""), lambda u: F.when(u != "", full(u)))
 
 
 def clean_urls(df: DataFrame, url: str, into: str) -> DataFrame:
@@ -91,8 +90,7 @@ def clean_urls(df: DataFrame, url: str, into: str) -> DataFrame:
 
 
 def with_scheme(url: Column) -> Column:
-    u = strip(url)
-    return F.when(u != "", F.when(u.contains("://"), u).otherwise(F.concat(F.lit("https://"), u)))
+    return once(strip(url), lambda u: F.when(u != "", F.when(u.contains("://"), u).otherwise(F.concat(F.lit("https://"), u))))
 
 
 def without_query(url: Column) -> Column:

@@ -24,6 +24,7 @@ from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult, OrderingColumn, Par
 from leadloom.functions.text import EMAIL, US_PHONE
 from leadloom.functions.urls import domain_discovery, tidy_url, unwrap_redirect
 from leadloom.operators.records import bad_domain
+from leadloom.operators.websites import business_result
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset(("script", "style", "template"))
@@ -337,13 +338,17 @@ RESULT_LIST = "array<struct<rank:int,title:string,url:string,snippet:string>>"
 
 
 class Engine(NamedTuple):
-    """How an engine's page lists its results: the items, the title link of an item, its snippet, and what the rank counts."""
+    """How an engine's page lists its results: the items, the title link of an item, its snippet, what stands for a missing one, what the rank
+    counts, how many ranks there are, and whether only results that look like a business have one."""
 
     source: str
     item: Callable[[Node], bool]
     link: Callable[[Node], Node | None]
     snippet: Callable[[Node], Node | None]
     rank_is_place: bool
+    no_snippet: str | None = None
+    limit: int = 10
+    businesses: bool = False
 
 
 def _under(item: Node, outer, inner) -> Node | None:
@@ -353,25 +358,25 @@ def _under(item: Node, outer, inner) -> Node | None:
 
 ENGINES = {
     "bing": Engine(
-        "bing_serp", is_a("li", "b_algo"), lambda n: _under(n, is_a("h2"), is_a("a")), lambda n: _under(n, has_class("b_caption"), is_a("p")), False
+        "bing_serp", is_a("li", "b_algo"), lambda n: _under(n, is_a("h2"), is_a("a")), lambda n: _under(n, has_class("b_caption"), is_a("p")), False, "", 30, True
     ),
     "brave": Engine("brave_serp", is_a("a", "result-header"), lambda n: n, lambda n: None, False),
     "ddg": Engine("duckduckgo_serp", is_a("a", "result-link"), lambda n: n, lambda n: None, True),
 }
 
 
-def result_list(html: str | None, engine: str, limit: int = 10) -> list[dict]:
-    """Results with a title and a link, in order, of the first ``limit`` ranks; the rank is a result's place among those kept, or
-    for engines that say so among all items of the list."""
+def result_list(html: str | None, engine: str) -> list[dict]:
+    """Results with a title and a link, in order, of the engine's ranks; the rank is a result's place among those kept, or for engines that
+    say so among all items of the list. Of an engine that ranks businesses, all results: ``search_results`` filters, then ranks."""
     e = ENGINES[engine]
     items = [(n, e.link(n)) for n in parse(html).find_all(e.item)]
     ranked = [(k, n, a, a.text(" " if a is not n else "") if a else "") for k, (n, a) in enumerate(items, 1)]
     whole = [(k, n, a, title) for k, n, a, title in ranked if title and a.attrs.get("href")]
     ranks = [k for k, *_ in whole] if e.rank_is_place else range(1, len(whole) + 1)
     return [
-        {"rank": r, "title": title, "url": a.attrs["href"], "snippet": said.text(" ") if (said := e.snippet(n)) else None}
+        {"rank": r, "title": title, "url": a.attrs["href"], "snippet": said.text(" ") if (said := e.snippet(n)) else e.no_snippet}
         for r, (_, n, a, title) in zip(ranks, whole)
-        if r <= limit
+        if e.businesses or r <= e.limit
     ]
 
 
@@ -571,9 +576,16 @@ def review_records(pages: DataFrame, text: str = "text") -> DataFrame:
 
 
 def search_results(pages: DataFrame, engine: str, html: str = "html") -> DataFrame:
-    """One row for each result of landed search pages of ``engine``."""
-    rows = pages.withColumn("hit", F.explode(extract(lambda h: result_list(h, engine), RESULT_LIST, F.col(html))))
-    return rows.select(*[c for c in pages.columns if c != html], F.lit(ENGINES[engine].source).alias("source"), "hit.*")
+    """One row for each result of landed search pages of ``engine``: its rank, title, url and snippet. Where only businesses count, the others
+    go first, then the rest are ranked within their page and cut."""
+    e = ENGINES[engine]
+    rows = pages.withColumn("hits", extract(lambda h: result_list(h, engine), RESULT_LIST, F.col(html)))
+    hits = F.col("hits")
+    if e.businesses:
+        kept = F.slice(F.filter(hits, lambda h: business_result(h["title"], h["url"], h["snippet"])), 1, e.limit)
+        hits = F.transform(kept, lambda h, k: h.withField("rank", (k + 1).cast("int")))
+    rows = rows.withColumn("hit", F.explode(hits))
+    return rows.select(*[c for c in pages.columns if c != html], F.lit(e.source).alias("source"), "hit.*")
 
 
 def detail_websites(pages: DataFrame, key: str, html: str = "html") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.functions import text as T
+from leadloom.functions.binding import any_of, once, together
 from leadloom.functions.similarity import resolver_key
 from leadloom.functions.urls import blank_to_null, domain_discovery, tidy_url, unwrap_redirect
 
@@ -39,37 +40,24 @@ def raw_source_id(name: Column, phone: Column, city: Column) -> Column:
 
 def bad_domain(domain: Column) -> Column:
     """Whether a domain is missing or that of a directory or social site, subdomains included."""
-    d = F.lower(F.trim(domain))
-    listed = [d.isin(*DIRECTORY_HOSTS), *[d.endswith(f".{h}") for h in DIRECTORY_HOSTS]]
-    return domain.isNull() | (domain == "") | _any(listed)
+    return once(domain, lambda d: d.isNull() | (d == "") | F.lower(F.trim(d)).rlike(rf"(?:^|\.)(?:{any_of(DIRECTORY_HOSTS)})\z"))
 
 
-def _any(conditions: list[Column]) -> Column:
-    found = conditions[0]
-    for c in conditions[1:]:
-        found = found | c
-    return found
+def _site(url: Column) -> Column:
+    """Struct of url (unwrapped and tidied), domain, and whether that may be a company's own; each worked out once."""
+    ok = lambda u: together({"url": u, "domain": domain_discovery(u)}, lambda s: F.struct(s["url"].alias("url"), s["domain"].alias("domain"), (~bad_domain(s["domain"])).alias("ok")))
+    return once(once(unwrap_redirect(url), tidy_url), ok)
 
 
 def discovered_websites(listings: DataFrame, raw_website: str = "raw_website", detail_website: str | None = None) -> DataFrame:
     """Adds website, domain, method and confidence: the card's link, else that of the landed detail page, else none."""
-    detail = F.col(detail_website) if detail_website else F.lit(None).cast("string")
-    # A column for each step: nested expressions would repeat the steps before them many times over.
-    out = listings.withColumns({"_card": unwrap_redirect(F.col(raw_website)), "_detail": unwrap_redirect(detail)})
-    out = out.withColumns({c: tidy_url(F.col(c)) for c in ("_card", "_detail")})
-    out = out.withColumns({f"{c}_domain": domain_discovery(F.col(c)) for c in ("_card", "_detail")})
-    out = out.withColumns({f"{c}_ok": ~bad_domain(F.col(f"{c}_domain")) for c in ("_card", "_detail")})
-    pick = lambda card, found, none: F.when(F.col("_card_ok"), card).when(F.col("_detail_ok"), found).otherwise(none)
-    null = F.lit(None).cast("string")
-    out = out.withColumns(
-        {
-            "website": pick(F.col("_card"), F.col("_detail"), null),
-            "domain": pick(F.col("_card_domain"), F.col("_detail_domain"), null),
-            "method": pick(F.lit("yp_card"), F.lit("yp_detail"), F.lit("none")),
-            "confidence": pick(F.lit(0.8), F.lit(0.7), F.lit(0.0)),
-        }
-    )
-    return out.drop(*[f"{c}{x}" for c in ("_card", "_detail") for x in ("", "_domain", "_ok")])
+    detail = F.col(detail_website) if detail_website else None
+    found = lambda site, method, confidence: F.struct(site["url"].alias("website"), site["domain"].alias("domain"), F.lit(method).alias("method"), F.lit(confidence).alias("confidence"))
+    nothing = {"url": F.lit(None).cast("string"), "domain": F.lit(None).cast("string")}
+    sites = {"card": _site(F.col(raw_website)), "detail": _site(detail)} if detail_website else {"card": _site(F.col(raw_website))}
+    pick = lambda s: (F.when(s["card"]["ok"], found(s["card"], "yp_card", 0.8)).when(s["detail"]["ok"], found(s["detail"], "yp_detail", 0.7)) if detail_website else F.when(s["card"]["ok"], found(s["card"], "yp_card", 0.8))).otherwise(found(nothing, "none", 0.0))
+    out = listings.withColumn("_found", together(sites, pick))
+    return out.withColumns({c: F.col(f"_found.{c}") for c in ("website", "domain", "method", "confidence")}).drop("_found")
 
 
 def website_summary(html: Column, status: Column) -> Column:

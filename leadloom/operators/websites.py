@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadloom.functions.binding import any_of, once, together
 from leadloom.functions.similarity import token_overlap
 from leadloom.functions.urls import domain_bing, domain_expansion, path_of, with_scheme
 
@@ -30,49 +29,39 @@ NOISE = (
 )
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
 def noise_name(name: Column) -> Column:
-    return _any([F.lower(name).contains(w) for w in NOISE])
+    return F.lower(name).rlike(any_of(NOISE))
 
 
 def business_result(title: Column, url: Column, snippet: Column) -> Column:
     """Whether a search result looks like a business: no blocked site or phrase, and a hint or a bare site address."""
-    t, s, d = (F.coalesce(c, F.lit("")) for c in (F.lower(title), F.lower(snippet), domain_bing(url)))
-    everything = F.concat_ws(" ", t, s, d)
-    bare = d.contains(".") & (F.regexp_replace(F.coalesce(path_of(url), F.lit("")), "^/+|/+$", "") == "")
-    blocked = _any([d.contains(b) for b in BLOCKED_DOMAINS]) | _any([t.contains(p) for p in BLOCKED_PHRASES])
-    return (d != "") & ~blocked & (_any([everything.contains(h) for h in BUSINESS_HINTS]) | bare)
+    known = lambda c: F.coalesce(c, F.lit(""))
+    bare = lambda r: r["domain"].contains(".") & known(path_of(r["url"])).rlike(r"\A/*\z")
+    blocked = lambda r: r["domain"].rlike(any_of(BLOCKED_DOMAINS)) | r["title"].rlike(any_of(BLOCKED_PHRASES))
+    hinted = lambda r: F.concat_ws(" ", r["title"], r["snippet"], r["domain"]).rlike(any_of(BUSINESS_HINTS))
+    values = {"title": known(F.lower(title)), "snippet": known(F.lower(snippet)), "domain": known(domain_bing(url)), "url": url}
+    return together(values, lambda r: (r["domain"] != "") & ~blocked(r) & (hinted(r) | bare(r)))
 
 
 def domain_score(domain: Column) -> Column:
     """-999 for none or a mail provider, -50 for a social or listing site, else by the number of labels. The suffix is a
     plain one: "netflix.com" ends with "x.com"."""
-    labels = F.size(F.split(domain, r"\."))
-    social = _any([domain.endswith(s) for s in SOCIAL_SUFFIXES])
-    scored = F.when(domain.isin(*FREE_MAIL), -999).when(social, -50).when(labels <= 2, 30).when(labels == 3, 15).otherwise(5)
-    return F.when(F.coalesce(domain, F.lit("")) == "", -999).otherwise(scored)
+    of_labels = lambda d: once(F.size(F.split(d, r"\.")), lambda n: F.when(n <= 2, 30).when(n == 3, 15).otherwise(5))
+    scored = lambda d: F.when(d.isin(*FREE_MAIL), -999).when(d.rlike(rf"(?:{any_of(SOCIAL_SUFFIXES)})\z"), -50).otherwise(of_labels(d))
+    return once(domain, lambda d: F.when(F.coalesce(d, F.lit("")) == "", -999).otherwise(scored(d)))
 
 
 def score_candidates(candidates: DataFrame) -> DataFrame:
     """Adds domain, website and score to candidate sites (url, title, canonical_name): what the domain, the title's words and the path
-    are worth. Each step is a column of its own, so that none is evaluated twice."""
-    out = candidates.withColumns(
-        {
-            "domain": domain_expansion(F.col("url")),
-            "website": with_scheme(F.col("url")),
-            "_title": F.lower(F.trim(F.coalesce("title", F.lit("")))),
-            "_overlap": token_overlap(F.col("canonical_name"), F.col("title")),
-        }
-    )
-    out = out.withColumn("_path", F.lower(F.trim(path_of(F.col("website")))))
-    t, path = F.col("_title"), F.col("_path")
-    of_title = F.when(_any([t.contains(w) for w in TITLE_HINTS]), -20).otherwise(0) + F.floor(F.col("_overlap") / 4).cast("int")
-    of_path = F.when(path.isin("", "/"), 12).when(_any([path.startswith(p) for p in PATH_HINTS]), 4).otherwise(-3)
-    score = F.when(F.col("domain").isNull(), -999).otherwise(domain_score(F.col("domain")) + F.when(t != "", of_title).otherwise(0) + of_path)
-    return out.withColumn("score", score).drop("_title", "_overlap", "_path")
+    are worth. Each value is worked out once in a row."""
+    values = {"domain": domain_expansion(F.col("url")), "website": with_scheme(F.col("url")), "title": F.lower(F.trim(F.coalesce("title", F.lit(""))))}
+    of_title = lambda r: F.when(r["title"].rlike(any_of(TITLE_HINTS)), -20).otherwise(0) + F.floor(token_overlap(F.col("canonical_name"), F.col("title")) / 4).cast("int")
+    of_path = lambda p: F.when(p.isin("", "/"), 12).when(p.rlike(rf"\A(?:{any_of(PATH_HINTS)})"), 4).otherwise(-3)
+    path = lambda r: F.lower(F.trim(path_of(r["website"])))
+    score = lambda r: F.when(r["domain"].isNull(), -999).otherwise(domain_score(r["domain"]) + F.when(r["title"] != "", of_title(r)).otherwise(0) + once(path(r), of_path))
+    scored = together(values, lambda r: F.struct(r["domain"].alias("domain"), r["website"].alias("website"), score(r).alias("score")))
+    out = candidates.withColumn("_scored", scored)
+    return out.withColumns({c: F.col(f"_scored.{c}") for c in ("domain", "website", "score")}).drop("_scored")
 
 
 def pick_websites(candidates: DataFrame, key: str = "company_id") -> DataFrame:
