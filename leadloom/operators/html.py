@@ -365,7 +365,7 @@ ENGINES = {
 }
 
 
-def result_list(html: str | None, engine: str) -> list[dict]:
+def result_list(html: str | None, engine: str, limit: int | None = None) -> list[dict]:
     """Results with a title and a link, in order, of the engine's ranks; the rank is a result's place among those kept, or for engines that
     say so among all items of the list. Of an engine that ranks businesses, all results: ``search_results`` filters, then ranks."""
     e = ENGINES[engine]
@@ -376,7 +376,7 @@ def result_list(html: str | None, engine: str) -> list[dict]:
     return [
         {"rank": r, "title": title, "url": a.attrs["href"], "snippet": said.text(" ") if (said := e.snippet(n)) else e.no_snippet}
         for r, (_, n, a, title) in zip(ranks, whole)
-        if e.businesses or r <= e.limit
+        if e.businesses or r <= (limit or e.limit)
     ]
 
 
@@ -500,6 +500,13 @@ def parcel_details(html: str | None) -> dict:
     }
 
 
+def parcel_heading(html: str | None) -> dict:
+    """The page's title, and its line of county and tax year."""
+    root = parse(html)
+    title, line = root.find(is_a("title")), root.find(has_class("parcel-county-and-tax-year"))
+    return {"title": squish(title.text(" ")) if title else None, "county_tax_year": squish(line.text(" ")) if line else None}
+
+
 def stable_hash(value) -> str:
     """SHA-256 of a value's JSON with sorted keys and without blanks."""
     return hashlib.sha256(json.dumps(value, sort_keys=True, separators=(",", ":"), default=str).encode()).hexdigest()
@@ -598,6 +605,11 @@ def detail_websites(pages: DataFrame, key: str, html: str = "html") -> DataFrame
 
 def parcel_records(pages: DataFrame, html: str = "html") -> DataFrame:
     """Adds ``details``, the sections of a parcel page, and ``detail_hash``, by which a change shows."""
-    both = lambda h: {"details": (d := parcel_details(h)), "detail_hash": stable_hash(d)}
-    out = pages.withColumn("_parcel", extract(both, f"struct<details:{PARCEL},detail_hash:string>", F.col(html)))
-    return out.select(*[F.col(f"`{c}`") for c in pages.columns], "_parcel.details", "_parcel.detail_hash")
+    return parcel_pages(pages, html).select(*[F.col(f"`{c}`") for c in pages.columns], "_parcel.details", "_parcel.detail_hash")
+
+
+def parcel_pages(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Adds ``_parcel``: the details of a parcel page, their hash, and what the page says of itself."""
+    read = lambda h: {"details": (d := parcel_details(h)), "detail_hash": stable_hash(d), "page": parcel_heading(h)}
+    kind = f"struct<details:{PARCEL},detail_hash:string,page:struct<title:string,county_tax_year:string>>"
+    return pages.withColumn("_parcel", extract(read, kind, F.col(html)))

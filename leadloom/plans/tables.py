@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.operators import html, places, runs, targets, websites
+from leadloom.operators import html, parcels, places, runs, targets, websites
 from leadloom.plans.catalog import _STAGES, ORACLES, C, companies, query, serp
 from leadloom.sources import loaders, presets
 from leadloom.sources.scratch import scratch_path
@@ -199,3 +199,38 @@ def company_expansion_full(spark: SparkSession, sf: str) -> DataFrame:
     contacts = _table(spark, sf, "supplier").groupBy(site.alias("website")).agg(F.min_by("s_name", "s_suppkey").alias("phone"))
     contacts = contacts.withColumns({"email": F.lit("a@b.c"), "contact_form_url": F.lit(None).cast("string")})
     return websites.expand_companies(named, found.drop("canonical_name").withColumn("source", F.lit("bing_serp")), contacts)
+
+
+# Parcel sections ------------------------------------------------------------------------------------------------
+
+@query(
+    "parcel_sections",
+    "WITH c AS (SELECT c_custkey AS k, c_mktsegment AS segment FROM customer) SELECT k AS parcel, 'Parcel ' || k AS title, 2020 + k % 5 AS tax_year, CASE WHEN k % 2 = 0 THEN k % 95 END AS county_number, k * 1000 + 7 AS land_value, "
+    "CASE WHEN k % 3 > 0 THEN k * 2 END AS improvement, 25::BIGINT AS percentage, segment AS subdivision, 'B' || k AS plat_book, CASE WHEN k % 4 > 0 THEN '01' END AS water_code, CASE WHEN k % 4 > 0 THEN 'PUBLIC - ' || segment ELSE 'NONE' END AS water, k % 7 AS acres, "
+    "CASE WHEN k % 5 = 0 THEN 0 ELSE 1 END::INTEGER AS sheds, CASE WHEN k % 5 > 0 AND k % 10 < 9 THEN k END AS units, CASE WHEN k % 5 > 0 THEN CASE WHEN k % 10 = 9 THEN 'none' ELSE CAST(k AS VARCHAR) || ' SQFT' END END AS units_text FROM c",
+)
+def parcel_sections(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages made from customers, read into typed sections."""
+    k, seg = F.col("c_custkey"), F.col("c_mktsegment")
+    t = lambda c: c.cast("string")
+    line = lambda label, value: F.concat(F.lit(f"<p class='detailsPage'>{label}: "), value, F.lit("</p>"))
+    card = lambda header, *parts: F.concat(F.lit(f"<div class='card'><div class='card-header'>{header}</div><div class='card-body'>"), *parts, F.lit("</div></div>"))
+    some = lambda when, c: F.when(when, c).otherwise("")
+    money = F.concat(F.lit("$"), F.format_number(k * 1000 + 7, 0), F.lit(".00"))
+    row = F.concat(F.lit("<tr><td>1</td><td>SHED</td><td>old</td><td>"), F.when(k % 10 == 9, "none").otherwise(F.concat(t(k), F.lit(" SQFT"))), F.lit("</td></tr>"))
+    page = F.concat(
+        F.lit("<html><head><title>Parcel "), t(k), F.lit("</title></head><body><div class='parcel-county-and-tax-year'>Knox - Tax Year "), t(2020 + k % 5), F.lit("</div>"),
+        card("County Information", some(k % 2 == 0, line("County Number", t(k % 95)))),
+        card("Value Information", line("Land Market Value", money), some(k % 3 > 0, line("Improvement Value", t(k * 2))), line("Assessment Percentage", F.lit("25%"))),
+        card("Subdivision Data", line("Subdivision", seg), line("Plat Book", F.concat(F.lit("B"), t(k)))),
+        card("General Information", line("Utilities - Water/Sewer", F.when(k % 4 > 0, F.concat(F.lit("01 - PUBLIC - "), seg)).otherwise("NONE"))),
+        card("Land Information", line("Deed Acres", t(k % 7))),
+        card("Outbuildings & Yard Items", F.lit("<table><tr><th>Card</th><th>Type</th><th>Description</th><th>Units</th></tr>"), some(k % 5 > 0, row), F.lit("</table>")), F.lit("</body></html>"),
+    )
+    out = parcels.parcel_sections(_table(spark, sf, "customer").select(k.alias("parcel"), page.alias("html")))
+    shed = F.get("outbuildings", F.lit(0))
+    return out.select(
+        "parcel", "title", F.col("tax_year").cast("bigint").alias("tax_year"), "county.county_number", F.col("values.land_market_value").alias("land_value"), F.col("values.improvement_value").alias("improvement"),
+        F.col("values.assessment_percentage").alias("percentage"), "plat.subdivision", "plat.plat_book", F.col("utilities.water_sewer.code").alias("water_code"), F.col("utilities.water_sewer.desc").alias("water"),
+        F.col("land.deed_acres").alias("acres"), F.size("outbuildings").alias("sheds"), shed["units"].alias("units"), shed["units_text"].alias("units_text"),
+    )

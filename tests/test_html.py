@@ -51,7 +51,7 @@ def test_review_rows(spark):
 
 def test_result_lists(spark):
     bing = '<ol><li class="b_algo"><h2><a href="http://a.com">A</a></h2><p>date</p><div class="b_caption"><p>said</p></div></li><li class="b_algo"><h2></h2></li><li class="b_algo"><h2><a href="http://b.com">B</a></h2></li></ol>'
-    assert [(r["rank"], r["title"], r["snippet"]) for r in html.result_list(bing, "bing")] == [(1, "A", "said"), (2, "B", None)]
+    assert [(r["rank"], r["title"], r["snippet"]) for r in html.result_list(bing, "bing")] == [(1, "A", "said"), (2, "B", "")]
     ddg = '<table><tr><td><a class="result-link" href="u"><b>A</b> x</a></td></tr><tr><td><a class="result-link"></a><a class="result-link" href="v">B</a><a href="w">no</a></td></tr></table>'
     assert [(r["rank"], r["title"], r["url"]) for r in html.result_list(ddg, "ddg")] == [(1, "Ax", "u"), (3, "B", "v")]
     assert [r["rank"] for r in html.result_list(ddg, "ddg", 2)] == [1]

@@ -113,3 +113,17 @@ def test_phones_of_long_texts_without_digits_are_read_in_time(spark):
     df = spark.createDataFrame([("x" * 200_000,), ("call 865 555 0101",)], "p string")
     began = time.time()
     assert [r.p for r in df.select(text.phone_lax(F.col("p")).alias("p")).collect()] == [None, "8655550101"] and time.time() - began < 20
+
+
+def test_parcel_sections_are_typed(spark):
+    from leadloom.operators import parcels
+
+    df = spark.createDataFrame([("01 - PUBLIC - X",), ("NONE",), (" ",), (None,), ("$1,234,567.00 of 9",), ("a - ",), ("0",)], "t string")
+    got = df.select(parcels.coded(F.col("t")).alias("c"), parcels.number(F.col("t")).alias("n")).collect()
+    assert [tuple(r.c) for r in got] == [("01 - PUBLIC - X", "01", "PUBLIC - X"), ("NONE", None, "NONE"), (None,) * 3, (None,) * 3, ("$1,234,567.00 of 9", None, "$1,234,567.00 of 9"), ("a -", None, "a -"), ("0", None, "0")]
+    assert [r.n for r in got] == [1, None, None, None, 1234567, None, 0]
+    page = '<title>T</title><div class="card"><div class="card-header">Outbuildings & Yard Items</div><table><tr><th>a</th><th>b</th><th>c</th><th>d</th></tr><tr><td>1</td><td>SHED</td><td>x</td><td>0</td></tr><tr><td>short</td></tr></table></div>'
+    row = parcels.parcel_sections(spark.createDataFrame([(1, page)], "id int, html string")).first()
+    assert row.title == "T" and row.tax_year is None and [tuple(o) for o in row.outbuildings] == [("1", "SHED", "x", None, "0")]
+    assert row["values"].assessment is None and row.utilities.gas.desc is None
+    assert parcels.parcel_sections(spark.createDataFrame([(None,)], "html string")).first().outbuildings == []
