@@ -129,28 +129,54 @@ def has_class(*classes: str):
 CARD = "array<struct<raw_company_name:string,raw_address:string,raw_phone:string,raw_website:string,source_id:string,detail_url:string>>"
 
 
+def _said(test) -> Callable[[Node], str | None]:
+    """Text of the first element that passes, null if there is none or it says nothing."""
+    return lambda n: ((found := n.find(test)) and found.text()) or None
+
+
+def _leads(test) -> Callable[[Node], str | None]:
+    """Where the first element that passes leads."""
+    return lambda n: (found := n.find(test)) and found.attrs.get("href")
+
+
+def _visit(n: Node) -> bool:
+    """A link to the business's own site: it says so by its class, or is absolute and not followed by search engines."""
+    href = n.attrs.get("href") if n.tag == "a" else None
+    named = has_class("track-visit-website", "website-link")(n)
+    return href is not None and (named or (href.startswith("http") and "nofollow" in n.attrs.get("rel", "")))
+
+
+_NAME = is_a("a", "business-name")
+#: What is read of a card, by part.
+CARD_PARTS: dict[str, Callable[[Node], str | None]] = {
+    "name": lambda card: (link := card.find(_NAME)) and (link.find(is_a("span")) or link).text(),
+    "listing": lambda card: ((_leads(_NAME)(card) or "").partition("?")[0]) or None,
+    "street": _said(has_class("street-address")),
+    "locality": _said(has_class("locality")),
+    "phone": _said(has_class("phones")),
+    "site": _leads(_visit),
+}
+
+
 def directory_cards(html: str | None) -> list[dict]:
     """Businesses of a directory's result page, each (id, name, address) once; a page without cards gives none."""
-    rows, seen = [], set()
-    for card in parse(html).find_all(has_class("result", "v-card")):
-        link = card.find(is_a("a", "business-name"))
-        inner = link.find(lambda n: n.tag == "span") if link else None
-        name = (inner or link).text() if link else ""
-        if not name:
-            continue
-        href = link.attrs.get("href")
-        source_id = href.split("?")[0] if href else None
-        part = lambda cls: (n.text() if (n := card.find(has_class(cls))) else None) or None
-        address = ", ".join(x for x in (part("street-address"), part("locality")) if x) or None
-        outside = lambda n: n.tag == "a" and "href" in n.attrs and (
-            "track-visit-website" in n.classes or "website-link" in n.classes or (n.attrs["href"].startswith("http") and "nofollow" in n.attrs.get("rel", ""))
-        )
-        site = card.find(outside)
-        if (key := (source_id, name, address)) not in seen:
-            seen.add(key)
-            detail = "https://www.yellowpages.com" + source_id if source_id and source_id.startswith("/") else None
-            rows.append({"raw_company_name": name, "raw_address": address, "raw_phone": part("phones"), "raw_website": site.attrs["href"] if site else None, "source_id": source_id, "detail_url": detail})
-    return rows
+    cards = [{part: read(card) for part, read in CARD_PARTS.items()} for card in parse(html).find_all(has_class("result", "v-card"))]
+    rows = [
+        {
+            "raw_company_name": c["name"],
+            "raw_address": ", ".join(filter(None, (c["street"], c["locality"]))) or None,
+            "raw_phone": c["phone"],
+            "raw_website": c["site"],
+            "source_id": c["listing"],
+            "detail_url": f"https://www.yellowpages.com{c['listing']}" if (c["listing"] or "").startswith("/") else None,
+        }
+        for c in cards
+        if c["name"]
+    ]
+    once: dict[tuple, dict] = {}
+    for r in rows:
+        once.setdefault((r["source_id"], r["raw_company_name"], r["raw_address"]), r)
+    return list(once.values())
 
 
 def website_links(html: str | None) -> list[str]:
@@ -305,21 +331,17 @@ def site_page(html: str | None, url: str | None) -> dict:
         asks = next((a for a in links if re.search("contact|get in touch", a.text(" ").lower())), None)
         form = urljoin(base, asks.attrs["href"]) if asks else None
     footer, title = root.find(lambda n: n.tag == "footer"), root.find(lambda n: n.tag == "title")
-    inside = []
-    for a in links:
-        href = a.attrs["href"]
-        if href.startswith(("mailto:", "tel:", "#", "javascript:")) or not SURFACE.search(f"{href} {a.text(' ')}"):
-            continue
-        full = canonical(href, base)
-        if full and urlparse(full).netloc == urlparse(base).netloc and full not in inside:
-            inside.append(full)
+    telling = (a.attrs["href"] for a in links if SURFACE.search(f"{a.attrs['href']} {a.text(' ')}"))
+    pages = (canonical(href, base) for href in telling if not href.startswith(("mailto:", "tel:", "#", "javascript:")))
+    here = urlparse(base).netloc
+    inside = dict.fromkeys(page for page in pages if page and urlparse(page).netloc == here)
     return {
         "title": squish(title.text(" ")) if title else None,
         "email": email[0].lower() if email else None,
         "phone": digits[1:] if digits and len(digits) == 11 and digits[0] == "1" else digits,
         "contact_form_url": form or None,
         "footer": squish(footer.text(" ")) if footer else None,
-        "links": inside,
+        "links": list(inside),
     }
 
 
@@ -603,6 +625,21 @@ def detail_websites(pages: DataFrame, key: str, html: str = "html") -> DataFrame
     return links.groupBy(key).agg(F.min_by("link", usable).alias("detail_website"))
 
 
+def registry_records(pages: DataFrame, html: str = "html") -> DataFrame:
+    """``pages`` without their text, with the facts of a state registry's detail page."""
+    return _facts(pages, html, registry_details, REGISTRY)
+
+
+def bureau_records(pages: DataFrame, html: str = "html") -> DataFrame:
+    """``pages`` without their text, with accreditation, grade and complaints of a review bureau's profile."""
+    return _facts(pages, html, bureau_profile, BUREAU)
+
+
+def _facts(pages: DataFrame, html: str, read: Callable, kind: str) -> DataFrame:
+    found = pages.withColumn("_facts", extract(read, kind, F.col(html)))
+    return found.select(*[F.col(f"`{c}`") for c in pages.columns if c != html], "_facts.*")
+
+
 def parcel_records(pages: DataFrame, html: str = "html") -> DataFrame:
     """Adds ``details``, the sections of a parcel page, and ``detail_hash``, by which a change shows."""
     return parcel_pages(pages, html).select(*[F.col(f"`{c}`") for c in pages.columns], "_parcel.details", "_parcel.detail_hash")

@@ -259,6 +259,17 @@ def metrics_payload(results: DataFrame) -> DataFrame:
     )
 
 
+def has_website(*places: Column) -> Column:
+    """Whether the first of ``places`` that is filled says more than blanks."""
+    return F.coalesce(strip(F.coalesce(*[blank_to_null(p) for p in places])) != "", F.lit(False))
+
+
+def tallies(rows: DataFrame) -> DataFrame:
+    """One row a run of its rows (outcome, source_failure_rate, has_website): outcomes counted, the worst rate (0 without any), records with a website."""
+    outcomes = [F.count_if(F.col("outcome") == o).alias(o) for o in ("inserted", "skipped", "failed")]
+    return rows.groupBy("run_id").agg(*outcomes, F.coalesce(F.max("source_failure_rate"), F.lit(0.0)).alias("worst_failure_rate"), F.count_if("has_website").alias("with_website"))
+
+
 def company_id_list(text: Column) -> Column:
     """Ids of a comma-separated list; blanks and a stray ">" at the end of one go."""
     parts = F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda p: F.regexp_replace(strip(p), ">+$", ""))

@@ -4,7 +4,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from leadloom.plans import catalog, lifecycle, tables  # noqa: F401
+from leadloom.plans import catalog, lifecycle, pages, tables  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents pages".split()
