@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from leadloom.operators.components import components
 from leadloom.llm.scratch import materialize, table
-from leadloom.llm.similar import sketches, with_similar
+from leadloom.llm.ngram_join import ngram_join
 
 BITS, BYTES = 64, 8
 SHINGLE_WORDS, MAX_BITS = 3, 2
@@ -115,15 +115,16 @@ def near_duplicates(
     Texts without words (null, empty, blank) share the fingerprint zero and link like any other. Rows with a null id
     take part but never name a component unless all ids in it are null. Repeated rows and ties fall in one
     component; an empty table gives no rows; other columns are not read. Texts of any length count whole.
-    With ``similar``, texts whose five-word shingles have at least that Jaccard similarity are linked too.
+    With ``similar``, texts whose five-word shingles have at least that Jaccard similarity are linked too, all of them; a
+    row with a null id then has the links of its fingerprint only.
     """
+    if similar is not None:
+        alike = ngram_join(docs, id_col, text_col, percent=round(100 * similar))
+        return _linked_also(near_duplicates(docs, id_col, text_col, words_in_shingle, max_bits), alike)
     kind = docs.schema[id_col].dataType.simpleString()
-    found = fingerprints(docs, id_col, text_col, words_in_shingle) if similar is None else sketches(docs, id_col, text_col, words_in_shingle)
-    rows = materialize(found, "fingerprints")
+    rows = materialize(fingerprints(docs, id_col, text_col, words_in_shingle), "fingerprints")
     classes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-classes")
     edges = materialize(links(classes.select("fp"), max_bits), "fingerprint-links")
-    if similar is not None:
-        edges = with_similar(rows, docs, text_col, edges, similar)
     member = components(edges)
     grouped = classes.join(member, classes.fp == member.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = grouped.groupBy("root").agg(F.min("first_id").cast(kind).alias("component_id"))
@@ -131,6 +132,15 @@ def near_duplicates(
     return rows.join(of_class, "fp").select("doc_id", "fp", "component_id")
 
 
+def _linked_also(groups: DataFrame, others: DataFrame) -> DataFrame:
+    """``groups`` (doc_id, fp, component_id) with the components that they and ``others`` (doc_id, component_id) have together."""
+    groups = materialize(groups, "fingerprint-groups")
+    edges = groups.select("doc_id", "component_id").unionByName(others.select("doc_id", "component_id")).where("doc_id <> component_id").distinct()
+    root = components(edges.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")))
+    named = groups.withColumn("node", F.coalesce("doc_id", "component_id")).join(root, "node", "left")
+    return named.select("doc_id", "fp", F.coalesce("root", "component_id").alias("component_id"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from leadloom.llm.exact_dedup import DigestIndex, digests, drop_copies, exact_dedup
-from leadloom.llm.similar import shingles
+from leadloom.llm.ngram_join import shingles
 from leadloom.llm.simhash import fingerprint, links, near_duplicates
 from tests.llm.conftest import ODD
 
