@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom.llm.exact_dedup import drop_copies
+from leadloom.llm.ngram_join import PERCENT
 from leadloom.llm.packing import packed_digest
 from leadloom.llm.quality import score_quality
 from leadloom.llm.scratch import materialize, rows_of, table
-from leadloom.llm.similar import SIMILAR
 from leadloom.llm.simhash import near_duplicates
 from leadloom.llm.toxicity import drop_toxic, learn
 
@@ -35,8 +35,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def edited_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As near_copies, with texts linked too whose sets of five-word shingles have a Jaccard similarity of 0.8 or more."""
-    return _first_of_groups(docs, near_duplicates(docs, similar=SIMILAR))
+    """As near_copies, with texts linked too whose sets of five-word shingles have a Jaccard similarity of 0.8 or more: all such pairs."""
+    return _first_of_groups(docs, near_duplicates(docs, similar=PERCENT / 100))
 
 
 def _first_of_groups(docs: DataFrame, groups: DataFrame) -> DataFrame:
