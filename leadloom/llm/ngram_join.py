@@ -1,15 +1,17 @@
 """Jaccard join of n-gram sets over prefix trees.
 
-All n-grams have one global order, rare ones first. Two sets that link share an n-gram of their prefixes (the first
-``n - required + 1`` of each), so sets meet in the posting lists of their prefixes only. Where they meet, the sets of a tile
+All n-grams have one global order, rare ones first. Two sets that link share SHARED n-grams of their prefixes (the first
+``n - required + SHARED`` of each), so sets meet in the posting lists of their prefixes only. Where they meet, the sets of a tile
 go into a tree of their ordered n-grams: sets that begin alike share a path, the overlap with a probe is counted once for
 all sets below a node, and a subtree goes when what is left of the probe and of its longest set cannot reach the bound.
 
 * *Order*: a sketch of 2 ** SKETCH_BITS counters is summed over the whole corpus; an n-gram's key is its counter's binary
   logarithm followed by 58 bits of its hash. Any order gives the right links; this one keeps common passages out of prefixes.
 * *Classes*: documents with equal sets are one class; only classes are joined.
-* *Stars*: each list's first class is compared with the others of it: a group of near copies costs its size.
-* *Tiles*: what is still apart in a list is compared once more. Classes are dealt to blocks of at most about BLOCK_GRAMS n-grams, by the
+* *Short lists*, of SHORT classes at most, give their pairs as numbers. Prefixes are SHARED - 1 longer than one common n-gram needs, so a pair that links has
+  SHARED in common there; pairs with fewer, most of them chance, go before any text is moved.
+* *Stars*: a longer list's first class is compared with the others of it: a group of near copies costs its size.
+* *Tiles*: what is still apart in a longer list is compared once more. Classes are dealt to blocks of at most about BLOCK_GRAMS n-grams, by the
   component of their stars or by the longest list they are in; a pair is looked at in the tile of its two blocks only. A
   tile of one component is left out, so a list of many near copies is not squared.
 """
@@ -27,13 +29,17 @@ from leadloom.llm.skew import join_one
 from leadloom.operators.components import components
 
 WORDS, PERCENT = 5, 80
+#: Common n-grams that the prefixes of a linking pair are sure to have, or all that it must have if that is fewer.
+SHARED = 3
+#: Classes of a list whose pairs are counted; longer lists go through stars and tiles.
+SHORT = 8
 #: Counters of the sketch: 4,194,304 levels of one byte each are broadcast, whatever the input.
 SKETCH_BITS, SKETCH_PARTS = 22, 256
 HASH_BITS = 58
 #: n-grams of a block, 2 MB of keys; a longer set is a block of its own.
 BLOCK_GRAMS = 1 << 18
-#: Classes whose numbers or keys (16 bytes) are broadcast to filter the documents; beyond it the join shuffles.
-MAX_BROADCAST_CLASSES = 500_000
+#: Rows of numbers and keys (under 40 bytes each) that are broadcast; beyond it the join shuffles.
+MAX_BROADCAST_ROWS = 500_000
 _SLICE_WORDS = 1 << 16
 
 
@@ -282,14 +288,38 @@ def tile_links(words: int, percent: int, levels: Broadcast):
     return links
 
 
-def _star_tiles(members: DataFrame, percent: int) -> DataFrame:
-    """Each list's first class on side 0, the list's other classes of fitting size on side 1, in parts of about BLOCK_GRAMS."""
-    star = members.where("class <> first").select("first", "class", "n").distinct()
-    first_n = members.where("class = first").groupBy("first").agg(F.first("n").alias("first_n"))
-    star = star.join(first_n, "first").where(100 * F.least("n", "first_n") >= percent * F.greatest("n", "first_n"))
-    star = materialize(star.select("first", "class", "n"), "stars")
-    parts = star.groupBy("first").agg(F.ceil(F.sum("n") / F.lit(BLOCK_GRAMS)).alias("parts"))
-    dealt = star.join(parts, "first").select("first", "class", F.xxhash64("first", F.pmod(F.xxhash64("class"), "parts")).alias("tile"))
+def _fits(percent: int) -> str:
+    """Of sets of ``n`` and ``other_n``: whether their sizes allow a link."""
+    return f"{percent} * greatest(n, other_n) <= 100 * least(n, other_n)"
+
+
+def _enough(percent: int) -> str:
+    """Whether ``shared`` n-grams of the prefixes are as many as a pair that links has there."""
+    return f"shared >= least({SHARED}, ({percent} * (n + other_n) + {99 + percent}) div {100 + percent})"
+
+
+def _short_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """first, class and n: pairs of classes of short lists that have enough of them in common, the smaller one early in each."""
+    own = F.collect_list(F.struct("class", "n", "early"))  # SHORT at most
+    after = lambda m, x: F.filter(m, lambda y: y["class"] > x["class"])
+    pairs = F.flatten(F.transform("m", lambda x: F.transform(after(F.col("m"), x), lambda y: F.struct(x.alias("x"), y.alias("y")))))
+    met = lists.groupBy("gram").agg(own.alias("m")).select(F.explode(pairs).alias("p"))
+    met = met.select(F.col("p.x.class").alias("first"), F.col("p.y.class").alias("class"), F.col("p.x.n").alias("other_n"), F.col("p.y.n").alias("n"), F.col("p.x.early").alias("other_early"), F.col("p.y.early").alias("early"))
+    met = met.where(f"{_fits(percent)} AND ((n <= other_n AND early) OR (other_n <= n AND other_early))")
+    return met.groupBy("first", "class", "n", "other_n").agg(F.count(F.lit(1)).alias("shared")).where(_enough(percent)).select("first", "class", "n")
+
+
+def _star_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """first, class and n: each list's first class and those that share enough of its lists; what this leaves out is found in tiles."""
+    star = lists.where("class <> first").groupBy("first", "class", "n").agg(F.count(F.lit(1)).alias("shared"))
+    first_n = lists.where("class = first").groupBy("first").agg(F.first("n").alias("other_n"))
+    return star.join(first_n, "first").where(f"{_fits(percent)} AND {_enough(percent)}").select("first", "class", "n")
+
+
+def _star_tiles(pairs: DataFrame) -> DataFrame:
+    """For each ``first`` of the pairs, itself on side 0 and its classes on side 1, in parts of about BLOCK_GRAMS."""
+    parts = pairs.groupBy("first").agg(F.ceil(F.sum("n") / F.lit(BLOCK_GRAMS)).alias("parts"))
+    dealt = pairs.join(parts, "first").select("first", "class", F.xxhash64("first", F.pmod(F.xxhash64("class"), "parts")).alias("tile"))
     other = dealt.select("tile", F.lit(1).alias("side"), "class")
     first = dealt.select("tile", F.lit(0).alias("side"), F.col("first").alias("class")).distinct()
     return first.unionByName(other).withColumn("component", F.col("class"))
@@ -298,7 +328,7 @@ def _star_tiles(members: DataFrame, percent: int) -> DataFrame:
 def _rest_tiles(members: DataFrame, component: DataFrame, percent: int) -> DataFrame:
     """Tiles of two blocks, or of one, that a list has in common, with the classes of such lists; none of a single component.
 
-    The first n-gram that a pair has in common stands among the first ``n - required(n, n) + 1`` of the smaller set (``early``), so a class goes into a tile
+    The first SHARED n-grams that a pair has in common stand among the first ``n - required(n, n) + SHARED`` of the smaller set (``early``), so a class goes into a tile
     only with classes beside it, in the same list, of a fitting size and the smaller ones early."""
     placed = members.join(component.select(F.col("node").alias("class"), "root"), "class", "left")
     placed = placed.select("gram", "class", "n", "early", "first", "size", F.col("root").isNull().alias("alone"), F.coalesce("root", "class").alias("component"))
@@ -327,8 +357,8 @@ def _rest_tiles(members: DataFrame, component: DataFrame, percent: int) -> DataF
 
 
 def _bounded(keys: DataFrame) -> DataFrame:
-    """``keys``, marked for broadcast if they are MAX_BROADCAST_CLASSES at most; else the join shuffles."""
-    return F.broadcast(keys) if keys.limit(MAX_BROADCAST_CLASSES + 1).count() <= MAX_BROADCAST_CLASSES else keys
+    """``keys``, stored before, marked for broadcast if they are MAX_BROADCAST_ROWS at most; else the join shuffles."""
+    return F.broadcast(keys) if keys.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else keys
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -356,7 +386,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 n.append(len(found))
                 digest.append(xxhash.xxh3_128_digest(found.tobytes()))
                 keys = ordered(found, levels.value)
-                prefix.append(keys[: len(keys) - -(-percent * len(keys) // 100) + 1].tobytes())
+                prefix.append(keys[: len(keys) - -(-percent * len(keys) // 100) + SHARED].tobytes())
             made = [pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(prefix, pa.binary())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], names=["row_no", "doc_id", "key", "n", "digest", "prefix"])
 
@@ -372,7 +402,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             keys = [np.frombuffer(x.as_py(), np.int64) for x in batch.column(2)]
             names, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            early = sizes - required(sizes, sizes, percent) + 1
+            early = sizes - required(sizes, sizes, percent) + SHARED
             for lo in range(0, len(keys), 256):
                 part = keys[lo : lo + 256]
                 many = [len(x) for x in part]
@@ -397,8 +427,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     heads = heads.where(f"early_lo IS NOT NULL AND (size > 2 OR (size = 2 AND early_lo = n_lo AND {percent} * n_hi <= 100 * n_lo))").select("gram", "size", "first")
     members = materialize(postings.join(heads, "gram"), "ngram-lists")
 
+    short, long = members.where(F.col("size") <= SHORT), members.where(F.col("size") > SHORT)
+    pairs = materialize(_short_pairs(short, percent).unionByName(_star_pairs(long, percent)).distinct(), "ngram-pairs")
+
+    named = pairs.select("class").union(pairs.select("first")).union(long.select("class")).distinct()
     repeated = rows.groupBy("key").agg((F.count(F.lit(1)) > 1).alias("repeated"))
-    wanted = members.select("class").distinct().join(rows.select(F.col("row_no").alias("class"), "key"), "class").join(repeated, "key")
+    wanted = named.join(rows.select(F.col("row_no").alias("class"), "key"), "class").join(repeated, "key")
     wanted = source.select("key", "text").join(_bounded(materialize(wanted, "ngram-wanted")), "key").select("class", "text", "repeated")
     once = wanted.where("repeated").dropDuplicates(["class"])
     texts = wanted.where("NOT repeated").unionByName(once).select("class", "text").mapInArrow(packed, "class bigint, packed binary")
@@ -406,10 +440,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def links(tiles):
         """Links found in ``tiles`` (tile, side, class, component)."""
-        return tiles.join(texts, "class").select("tile", "side", "class", "component", "packed").groupBy("tile").applyInArrow(tile_links(words, percent, levels), "a bigint, b bigint")
+        dealt = texts.join(_bounded(materialize(tiles, "tile-rows")), "class").select("tile", "side", "class", "component", "packed")
+        return dealt.groupBy("tile").applyInArrow(tile_links(words, percent, levels), "a bigint, b bigint")
 
-    edges = materialize(links(_star_tiles(members, percent)), "ngram-star-links")
-    edges = materialize(edges.unionByName(links(_rest_tiles(members, components(edges), percent))), "ngram-links")
+    edges = materialize(links(_star_tiles(pairs)), "ngram-star-links")
+    if not long.isEmpty():
+        edges = materialize(edges.unionByName(links(_rest_tiles(long, components(edges), percent))), "ngram-links")
     root = classes.join(components(edges), F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
     smallest = root.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = root.select("digest", "size", "root").join(smallest, "root").select("digest", "size", "component_id")
