@@ -115,17 +115,18 @@ def sketch(texts: DataFrame, words: int) -> Broadcast:
         import numpy as np
         import pyarrow as pa
 
-        total, waiting, n = np.zeros(1 << SKETCH_BITS, np.uint64), [], 0
+        total, waiting, n = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
 
         def add():
             if waiting:
-                np.add(total, np.bincount(np.concatenate(waiting), minlength=1 << SKETCH_BITS).astype(np.uint64), out=total)
+                where, many = np.unique_counts(np.concatenate(waiting))
+                total[where] += many.astype(np.uint32)
 
         for batch in batches:
             for text in batch.column(0):
                 waiting.append((shingles(text.as_py(), words) >> np.uint64(64 - SKETCH_BITS)).astype(np.int32))
                 n += len(waiting[-1])
-                if n > 1 << SKETCH_BITS:
+                if n > 1 << 18:
                     add()
                     waiting, n = [], 0
         add()
@@ -141,7 +142,7 @@ def sketch(texts: DataFrame, words: int) -> Broadcast:
         sums: dict = {}
         for batch in batches:
             for part, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                got = np.frombuffer(zlib.decompress(counts.as_py()), np.uint64)
+                got = np.frombuffer(zlib.decompress(counts.as_py()), np.uint32).astype(np.uint64)
                 sums[part] = sums[part] + got if part in sums else got
         levels = [np.log2(np.maximum(x, 1)).astype(np.uint8).tobytes() for x in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(levels, pa.binary())], names=["part", "levels"])
