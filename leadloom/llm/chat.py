@@ -73,6 +73,7 @@ def format_chats(
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations of all logged ones, rendered, as ``format_chats`` defines them."""
     return format_chats(table(spark, sf_dir, "conversations"))
 
 

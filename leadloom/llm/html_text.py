@@ -333,5 +333,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text and n_chars (code points) of every page, as ``extract`` defines them; null and empty pages have an empty text."""
     found = extract(table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("long"))

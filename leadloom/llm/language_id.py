@@ -198,6 +198,7 @@ def identify(docs: DataFrame, prototypes: dict[str, list[float]], id_col: str =
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred and score of every document; learned from documents that are not held out, as ``learn`` and ``identify`` define it."""
     docs = table(spark, sf_dir, "documents")
     found = identify(docs, learn(docs.select("doc_id", "text", "lang")))
     held = F.expr("coalesce(crc32(cast(doc_id as string)) % 4 = 2, false)")

@@ -125,6 +125,7 @@ def assign_sequences(cut: DataFrame, window: int = WINDOW, group_pieces: int = G
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their windows, as ``packed_digest`` defines them; null and empty texts are their end token only."""
     return packed_digest(table(spark, sf_dir, "documents"))
 
 

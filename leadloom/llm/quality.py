@@ -208,6 +208,7 @@ def score_quality(df: DataFrame, text_col: str = "text", lang_col: str | None =
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of every document, as ``score_quality`` defines them; null and empty texts have no words and fail."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return score_quality(docs).select(
         "_row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"

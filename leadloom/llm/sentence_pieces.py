@@ -310,6 +310,7 @@ def encode_documents(
 
 
 def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoding of every document, as ``encode_documents`` defines it; null and empty texts have no pieces."""
     docs = table(spark, sf_dir, "documents")
     found = encode_documents(docs)
     return found.select(

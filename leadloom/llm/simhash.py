@@ -142,5 +142,6 @@ def _linked_also(groups: DataFrame, others: DataFrame) -> DataFrame:
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, fingerprint (hexadecimal) and component_id of every document, as ``near_duplicates`` defines them."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

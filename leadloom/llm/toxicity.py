@@ -199,6 +199,7 @@ def drop_toxic(docs: DataFrame, model: tuple[tuple, tuple]) -> DataFrame:
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score and predicted of every document; learned from labels of rows that are not held out; null and empty texts score as texts without a match."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity(docs, learn(docs, table(spark, sf_dir, "labels")))
     return scored.select(

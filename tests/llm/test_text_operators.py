@@ -349,3 +349,48 @@ def test_digits_are_folded_as_a_pattern_for_each_digit_does():
     began = time.process_time()
     assert toxicity.fold("1" * 1_000_000) == " " and len(toxicity.fold("a" + "1" * 1_000_000)) > 2
     assert time.process_time() - began < 2
+
+
+def _plain_vector(text):
+    """Product of the rotated letter vectors of each 3-gram whose middle is a letter, summed, in plain Python loops."""
+    letters = language_id._letter_vectors()[0].tolist()
+    slot = lambda ch: ord(ch) % (language_id.LETTER_SLOTS - 1) + 1 if ch.isalpha() else 0
+    turned = lambda s, r: letters[s][-r:] + letters[s][:-r] if r else letters[s]
+    codes = [0, *[slot(ch) for ch in text.lower()], 0]
+    codes = [c for k, c in enumerate(codes) if c or not k or codes[k - 1]]
+    total = [0] * language_id.DIMENSIONS
+    for a, b, c in zip(codes, codes[1:], codes[2:]):
+        if b:
+            total = [t + x * y * z for t, x, y, z in zip(total, turned(a, 0), turned(b, 1), turned(c, 2))]
+    return total
+
+
+def test_language_vectors_and_scores_are_the_plain_ones(docs_of):
+    texts = {1: "The cat, the hat.", 2: "Straße é 12 ü", 3: "漢字 漢字 かな", 4: "a", 5: "the the cat"}
+    for text in texts.values():
+        assert language_id.document_vector(text).tolist() == _plain_vector(text)
+    prototypes = {"x": [float(v) for v in _plain_vector("the cat the hat")], "y": [float(v) for v in _plain_vector("straße ü")]}
+    cosine = lambda u, v: sum(a * b for a, b in zip(u, v)) / math.sqrt(sum(a * a for a in u) * sum(b * b for b in v))
+    for r in language_id.identify(docs_of([(i, t, None) for i, t in texts.items()]), prototypes).collect():
+        near = {k: cosine(_plain_vector(texts[r.doc_id]), p) for k, p in prototypes.items()}
+        shares = {k: math.exp(c / language_id.SHARPNESS) for k, c in near.items()}
+        assert r.lang_pred == max(near, key=near.get) and abs(r.score - shares[r.lang_pred] / sum(shares.values())) < 1e-4
+
+
+def test_toxicity_matches_are_those_of_a_plain_scan():
+    """At each place the longest term or phrase counts, then the scan goes on behind it."""
+    rng = random.Random(6)
+    terms = tuple({"".join(rng.choice("abc") for _ in range(rng.randint(1, 4))): rng.random() for _ in range(14)}.items()) + (("trash", 2.0), ("clown", 1.0))
+
+    def plain(text):
+        words, weight, total, at = toxicity.fold(text), {" " + t: w for t, w in terms} | {" " + p: 0.0 for p in toxicity.EXCEPTIONS}, 0.0, 0
+        while at < len(words):
+            found = max((t for t in weight if words.startswith(t, at)), key=len, default="")
+            total += weight.get(found, 0.0)
+            at += max(1, len(found))
+        n = max(1, words.count(" "))
+        return math.log1p(total), math.log1p(100 * total / n), math.log1p(total / math.sqrt(n))
+
+    for _ in range(500):
+        text = " ".join(rng.choice(["trash", "trash can", "clown", "clown fish", "".join(rng.choice("abcd") for _ in range(rng.randint(1, 6)))]) for _ in range(rng.randint(0, 12)))
+        assert all(abs(a - b) < 1e-9 for a, b in zip(toxicity.features(text, terms), plain(text)))
