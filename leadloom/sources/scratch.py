@@ -12,11 +12,14 @@ _LOCAL_ROOT: str | None = None
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset (tests, local runs)."""
+    """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset and all runs in one process (tests, local runs)."""
     global _LOCAL_ROOT
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     if _LOCAL_ROOT is None:
         _LOCAL_ROOT = tempfile.mkdtemp(prefix="leadloom-")
     return _LOCAL_ROOT
