@@ -40,4 +40,4 @@ def test_stages_on_no_rows_and_odd_rows(spark, odd, none):
 
 
 def test_queries_are_registered():
-    assert len([q for q in QUERIES if q.startswith("op")]) == 10 and set(ORACLES) <= set(QUERIES)
+    assert len([q for q in QUERIES if q.startswith("op")]) == 13 and set(ORACLES) <= set(QUERIES)
