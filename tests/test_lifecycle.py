@@ -326,6 +326,15 @@ def test_logs_read_in_ranges(spark, tmp_path, split):
     assert one.count() == 2 * len([k for k, _ in want if k == "key3"]) and rows.where(F.col("file") == f"{tmp_path}/a.log").count() == len(want)
 
 
+def test_many_small_logs_share_tasks(spark, tmp_path):
+    for k in range(300):
+        (tmp_path / f"{k}.log").write_text(f"run_id: r{k}\napplied: {k}\n")
+    reader = stage_log.StageLogReader(str(tmp_path), 8)
+    tasks = reader.partitions()
+    assert len(tasks) < 10 and len({r for t in tasks for r in t.ranges}) == sum(len(t.ranges) for t in tasks) > 600
+    assert sum(b.num_rows for t in tasks for b in reader.read(t)) == 600 and len(stage_log.StageLogReader(str(tmp_path), 8, 1).partitions()) > 600
+
+
 def test_filters_reach_the_log_reader():
     from pyspark.sql.datasource import EqualTo, GreaterThan
 
