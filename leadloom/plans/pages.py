@@ -9,7 +9,7 @@ from leadloom.functions.binding import filled
 from leadloom.operators import html, records, runs, targets, websites
 from leadloom.plans.catalog import query
 from leadloom.sources import presets, readers
-from leadloom.sources.scratch import scratch_path
+from leadloom.sources.scratch import dealt, scratch_path
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -38,7 +38,7 @@ def registry_records(spark: SparkSession, sf: str) -> DataFrame:
     h4 = lambda label, value: _page(f"<h4>{label}: ", value, "</h4>")
     facts = F.when(k % 4 > 0, _page(h4("Entity Type", F.lit("LLC")), F.when(k % 3 > 0, h4("Status", F.lit("Active"))), h4("Control Number", _page("00", _text(k)))))
     agent = F.when(k % 2 == 0, _page("<div class='col-md-4'><h4>Registered Agent</h4><h4>", F.col("c_name"), "</h4><h4>1 Main St</h4></div>"))
-    pages = _table(spark, sf, "customer").select(k.alias("id"), _page("<div id='business-details'>", facts, agent, "</div>").alias("html"))
+    pages = dealt(_table(spark, sf, "customer").select("c_custkey", "c_name")).select(k.alias("id"), _page("<div id='business-details'>", facts, agent, "</div>").alias("html"))
     return html.registry_records(pages).select("id", "source_status", "entity_type", "business_status", "control_number", "registered_agent")
 
 
@@ -49,7 +49,7 @@ def registry_records(spark: SparkSession, sf: str) -> DataFrame:
 def bureau_records(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("c_custkey")
     said = [F.when(k % 2 == 0, "<span>BBB Accredited Business</span>"), F.when(k % 3 > 0, "<span class='dtm-LetterGrade'> A+ </span>"), F.when(k % 5 > 0, _page("<p>", _text(k % 40), " complaints closed</p>"))]
-    return html.bureau_records(_table(spark, sf, "customer").select(k.alias("id"), _page(*said).alias("html")))
+    return html.bureau_records(dealt(_table(spark, sf, "customer").select("c_custkey")).select(k.alias("id"), _page(*said).alias("html")))
 
 
 @query(
@@ -62,7 +62,7 @@ def detail_websites(spark: SparkSession, sf: str) -> DataFrame:
     k = _text(F.col("s_suppkey"))
     link = lambda url: _page("<a class='website-link' href='", url, "'>Visit Website</a>")
     own = F.when(F.col("s_suppkey") % 3 == 1, link(_page("https://own", k, ".com/a"))).when(F.col("s_suppkey") % 3 == 2, link(_page("https://r.example.com/?url=https%3A%2F%2Fdeep", k, ".com")))
-    pages = _table(spark, sf, "supplier").select("s_suppkey", _page(link(F.lit("https://www.facebook.com/x")), own).alias("html"))
+    pages = dealt(_table(spark, sf, "supplier").select("s_suppkey")).select("s_suppkey", _page(link(F.lit("https://www.facebook.com/x")), own).alias("html"))
     listings = _table(spark, sf, "supplier").select("s_suppkey", F.lit("https://www.yelp.com/biz/x").alias("raw_website"))
     found = listings.join(html.detail_websites(pages, "s_suppkey"), "s_suppkey", "left")
     return records.discovered_websites(found, detail_website="detail_website").select(F.col("s_suppkey").alias("id"), "website", "method", "confidence")
@@ -104,7 +104,7 @@ def site_contact_merge(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("c_custkey")
     url = _page("https://site", _text(F.col("c_nationkey")), ".com/form", _text(k))
     said = [F.when(k % 3 == 0, _page("<p>INFO", _text(k), "@x.com</p>")), F.when(k % 4 == 1, _page("<p>865-555-", _text(1000 + k % 9000), "</p>")), F.when(k % 6 == 2, "<form></form>"), F.when(k % 7 == 3, _page("<footer>Foot  ", _text(k), "</footer>"))]
-    pages = _table(spark, sf, "customer").select(F.col("c_nationkey").alias("site"), k.alias("place"), F.when(k % 5 == 0, 404).otherwise(200).alias("status"), url.alias("url"), _page("<html>", *said).alias("html"))
+    pages = dealt(_table(spark, sf, "customer").select("c_custkey", "c_nationkey")).select(F.col("c_nationkey").alias("site"), k.alias("place"), F.when(k % 5 == 0, 404).otherwise(200).alias("status"), url.alias("url"), _page("<html>", *said).alias("html"))
     return html.merge_site(html.site_pages(pages), "site", "place", "status")
 
 
@@ -116,7 +116,7 @@ def name_gates(spark: SparkSession, sf: str) -> DataFrame:
     """Names that are noise, and lines that may be names: digits, an address, a rating and a heading of the page are none."""
     k = F.col("p_partkey")
     line = F.when(k % 5 == 1, _text(k)).when(k % 5 == 2, _page(_text(k % 1000 + 1), " Main St")).when(k % 5 == 3, "4.5 (12 reviews)").when(k % 5 == 4, "Open now").otherwise(_page("Firm ", _text(k)))
-    return _table(spark, sf, "part").select(k.alias("id"), websites.noise_name(F.col("p_name")).alias("noise"), html.extract(html.business_name, "boolean", line).alias("business"))
+    return dealt(_table(spark, sf, "part").select("p_partkey", "p_name")).select(k.alias("id"), websites.noise_name(F.col("p_name")).alias("noise"), html.extract(html.business_name, "boolean", line).alias("business"))
 
 
 # Raw tables, seeds, counts ------------------------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from leadloom.operators import html, parcels, places, runs, targets, websites
 from leadloom.plans.catalog import _STAGES, ORACLES, C, companies, query, serp
 from leadloom.sources import loaders, presets
-from leadloom.sources.scratch import scratch_path
+from leadloom.sources.scratch import dealt, scratch_path
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -227,7 +227,7 @@ def parcel_sections(spark: SparkSession, sf: str) -> DataFrame:
         card("Land Information", line("Deed Acres", t(k % 7))),
         card("Outbuildings & Yard Items", F.lit("<table><tr><th>Card</th><th>Type</th><th>Description</th><th>Units</th></tr>"), some(k % 5 > 0, row), F.lit("</table>")), F.lit("</body></html>"),
     )
-    out = parcels.parcel_sections(_table(spark, sf, "customer").select(k.alias("parcel"), page.alias("html")))
+    out = parcels.parcel_sections(dealt(_table(spark, sf, "customer").select("c_custkey", "c_mktsegment")).select(k.alias("parcel"), page.alias("html")))
     shed = F.get("outbuildings", F.lit(0))
     return out.select(
         "parcel", "title", F.col("tax_year").cast("bigint").alias("tax_year"), "county.county_number", F.col("values.land_market_value").alias("land_value"), F.col("values.improvement_value").alias("improvement"),

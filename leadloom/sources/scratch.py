@@ -41,6 +41,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` dealt out evenly over all cores, before work that is dear by the row: a file of one row group is one task's, however many rows it has."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def rows_of(df: DataFrame) -> DataFrame:
     """The whole input row under ``_row``, so that work columns cannot clash with the caller's own."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))

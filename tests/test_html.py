@@ -70,6 +70,24 @@ PARCEL = """<div class="card"><div class="card-header">Property Owner and Mailin
 <a class="pdf-button" href="/x/Parcel/PrintPDF/1">pdf</a>"""
 
 
+def test_pages_of_one_file_are_parsed_in_many_tasks(spark, tmp_path):
+    from leadloom.plans import pages, tables
+
+    spark.range(400).selectExpr("id AS c_custkey", "concat('C', id) AS c_name", "int(id % 5) AS c_nationkey", "'X' AS c_mktsegment").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    for q in (tables.parcel_sections, pages.registry_records, pages.bureau_records, lambda *a: pages.site_contact_merge(*a).select("site")):
+        plan = q(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+        assert "Repartition" in plan
+    tasks = tables.parcel_sections(spark, str(tmp_path)).select("parcel", F.spark_partition_id().alias("t"))
+    assert tasks.count() == 400 and tasks.select("t").distinct().count() > 4
+
+
+def test_a_parcel_page_is_parsed_once(spark, monkeypatch):
+    asked, parse = [], html.parse
+    monkeypatch.setattr(html, "parse", lambda h: asked.append(h) or parse(h))
+    html.parcel_details(PARCEL)
+    assert len(asked) == 1 and html._cards(parse("<div class='card'><p class='card-header'>A</p></div><p class='card-header'>A</p>"))["A"].tag == "div"
+
+
 def test_parcel_details(spark):
     got = html.parcel_details(PARCEL)
     assert (got["owner_name"], got["mailing_street"], got["mailing_city_state_zip"]) == ("DOE JANE", "12 OAK ST", "TOWN, TN 37000")
