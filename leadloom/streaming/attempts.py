@@ -4,42 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-STATE = StructType([StructField("attempts", LongType()), StructField("done", BooleanType())])
-OUT = "parcel_id bigint, attempts bigint, verdict string"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class AttemptState(StatefulProcessor):
-    """Counts a parcel's attempts; gives the parcel's verdict after each batch that has any: done, given_up or open."""
-
-    def __init__(self, max_attempts: int):
-        self.max_attempts = max_attempts
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("attempts", STATE)
-
-    def handleInputRows(self, key, rows, timerValues):
-        from pyspark.sql import Row
-
-        n, done = self.seen.get() if self.seen.exists() else (0, False)
-        for row in rows:
-            n += 1
-            done = done or row.status == "ok"
-        self.seen.update((n, done))
-        verdict = "done" if done else "given_up" if n >= self.max_attempts else "open"
-        yield Row(parcel_id=key[0], attempts=n, verdict=verdict)
-
-    def close(self) -> None:
-        pass
-
-
 def attempt_verdicts(attempts: DataFrame, max_attempts: int = 3) -> DataFrame:
-    """A stream of verdicts (parcel_id, attempts, verdict) from a stream of attempts (parcel_id, status); needs the RocksDB state store."""
-    grouped = attempts.select("parcel_id", "status").groupBy("parcel_id")
-    return grouped.transformWithState(AttemptState(max_attempts), OUT, outputMode="Update", timeMode="None")
+    """A stream of verdicts (parcel_id, attempts, verdict: done, given_up or open) from a stream of attempts (parcel_id, status); in update mode, those of the
+    parcels that a batch has attempts of. The state is a running count and flag for each parcel, so attempts are folded before the shuffle."""
+    done = F.coalesce(F.col("status") == "ok", F.lit(False))
+    state = attempts.groupBy("parcel_id").agg(F.count(F.lit(1)).alias("attempts"), F.max(done).alias("done"))
+    verdict = F.when(F.col("done"), "done").when(F.col("attempts") >= max_attempts, "given_up").otherwise("open")
+    return state.select("parcel_id", "attempts", verdict.alias("verdict"))
 
 
 def follow(attempts: DataFrame, path: str, checkpoint: str, max_attempts: int = 3) -> None:

@@ -311,6 +311,13 @@ def test_attempts_through_state_equal_the_batch_join(spark, tmp_path):
     assert {r.verdict for r in verdicts.collect()} == {"open", "done", "given_up"}
 
 
+def test_attempts_are_counted_without_python_workers(spark, tmp_path):
+    spark.createDataFrame([(1, "ok")], "parcel_id long, status string").write.parquet(f"{tmp_path}/landed")
+    arriving = spark.readStream.schema("parcel_id long, status string").parquet(f"{tmp_path}/landed")
+    plan = attempts.attempt_verdicts(arriving, 4)._jdf.queryExecution().logical().toString()
+    assert "Aggregate" in plan and "TransformWithState" not in plan
+
+
 @pytest.mark.parametrize("split", [7, 64, 1 << 20])
 def test_logs_read_in_ranges(spark, tmp_path, split):
     lines = [rng_line for k in range(200) for rng_line in (f"key{k % 7}: value {k} ", "noise", f"é{k}: no", "", f"run_id: r{k}")]
