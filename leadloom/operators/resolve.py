@@ -14,13 +14,15 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadloom.functions.similarity import EARTH_KM, common_length, haversine_km, resolver_key, token_sort_ratio
+from leadloom.functions.similarity import EARTH_KM, common_length, haversine_km, ratio_of_sorted, resolver_key, sorted_tokens
 from leadloom.functions.text import name_resolver, phone_resolver
 from leadloom.functions.urls import domain_resolver
 from leadloom.operators.components import components
 from leadloom.sources.scratch import materialize
 
 MERGE_SCORE, NAME_LIKENESS, DOMAIN_NAME_LIKENESS, PHONE_KM = 65, 85, 60, 5.0
+#: Records of a block, when all pairs of a key are made.
+BLOCK_ROWS = 1_000
 
 
 def prepared(records: DataFrame) -> DataFrame:
@@ -30,16 +32,32 @@ def prepared(records: DataFrame) -> DataFrame:
     )
 
 
+def _tiles(p: DataFrame, key: str) -> DataFrame:
+    """Pairs of prepared records (columns a_ and b_, ``ord`` of a before b) with an equal ``key``. Records of a key lie in blocks of about BLOCK_ROWS, and
+    every two blocks meet in a tile of their own, so that a hot key's pairs are many tasks' work and none holds more than a block."""
+    sizes = p.where(F.col(key).isNotNull()).groupBy(key).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("_blocks"))
+    rows = p.join(sizes, key).withColumn("_block", F.pmod(F.xxhash64("ord"), F.col("_blocks")))
+    blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1))
+    n = 8 * p.sparkSession.sparkContext.defaultParallelism
+    side = lambda s, own, other: rows.select(*[F.col(c).alias(f"{s}_{c}") for c in _PAIRED], F.col(key).alias("_key"), F.col("_block").alias(own), blocks.alias(other)).repartition(n, "_key", "_i", "_j")
+    pairs = side("a", "_i", "_j").hint("merge").join(side("b", "_j", "_i"), ["_key", "_i", "_j"])
+    return pairs.where("a_ord < b_ord").drop("_key", "_i", "_j")
+
+
+_PAIRED = ("ord", "name", "words", "phone", "domain", "mailing_zip", "lat", "lng")
+
+
 def candidate_pairs(records: DataFrame) -> DataFrame:
     """Scores of all pairs of records (``ord`` of a before b) with an equal domain or phone: parts, veto and total.
 
-    For looking at the evidence; resolution itself never makes pairs."""
-    p = prepared(records)
-    sides = [p.select(*[F.col(c).alias(f"{s}_{c}") for c in ("ord", "name", "phone", "domain", "mailing_zip", "lat", "lng")]) for s in "ab"]
-    by = lambda c: sides[0].join(sides[1], (F.col(f"a_{c}") == F.col(f"b_{c}")) & (F.col("a_ord") < F.col("b_ord")))
-    pairs = by("domain").unionByName(by("phone").where(~F.col("a_domain").eqNullSafe(F.col("b_domain")) | F.col("a_domain").isNull()))
-    likeness = token_sort_ratio(F.col("a_name"), F.col("b_name"))
-    pairs = pairs.withColumns({"name_score": likeness, "km": haversine_km(F.col("a_lat"), F.col("a_lng"), F.col("b_lat"), F.col("b_lng"))})
+    For looking at the evidence; resolution itself never makes pairs. Names are put in order once a record, and only
+    pairs whose names then differ are compared letter by letter."""
+    p = prepared(records).withColumn("words", sorted_tokens(F.col("name")))
+    p = materialize(p.select(*_PAIRED), "paired-records")
+    pairs = _tiles(p, "domain").unionByName(_tiles(p, "phone").where(~F.col("a_domain").eqNullSafe(F.col("b_domain")) | F.col("a_domain").isNull()))
+    alike = F.coalesce(F.col("a_words") == F.col("b_words"), F.lit(False))
+    pairs = pairs.where(alike).withColumn("name_score", F.lit(100.0)).unionByName(pairs.where(~alike).withColumn("name_score", ratio_of_sorted(F.col("a_words"), F.col("b_words"))))
+    pairs = pairs.withColumn("km", haversine_km(F.col("a_lat"), F.col("a_lng"), F.col("b_lat"), F.col("b_lng")))
     named = (F.col("a_name") != "") & (F.col("b_name") != "")
     yes = lambda c, n: F.when(F.coalesce(c, F.lit(False)), n).otherwise(0)
     same = lambda c: F.col(f"a_{c}") == F.col(f"b_{c}")

@@ -217,3 +217,21 @@ def test_record_counts_take_every_company(spark):
     datasets = spark.createDataFrame([(1, 9), (2, 7)], "id long, record_count int")
     companies = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "id long, dataset_id long")
     assert {r.id: r.record_count for r in runs.set_record_counts(datasets, companies).collect()} == {1: 3, 2: 7}
+
+
+def test_pairs_of_a_hot_key_in_tiles(spark, monkeypatch):
+    from leadloom.operators import resolve
+
+    monkeypatch.setattr(resolve, "BLOCK_ROWS", 30)
+    n = 200
+    rows = spark.range(n).selectExpr(
+        "id AS ord", "concat('Acme Roofing ', id % 3) AS raw_company_name", "CASE WHEN id % 5 > 0 THEN '8655550100' END AS raw_phone", "CASE WHEN id % 2 = 0 THEN 'hot.com' WHEN id % 7 = 0 THEN 'x.com' END AS raw_website", "'37901' AS mailing_zip", "35.9D AS lat", "-83.9D AS lng"
+    )
+    site = lambda k: "hot" if k % 2 == 0 else "x" if k % 7 == 0 else None
+    want = sorted((a, b) for a in range(n) for b in range(a + 1, n) if (site(a) and site(a) == site(b)) or (a % 5 and b % 5))
+    got = resolve.candidate_pairs(rows).select("a_ord", "b_ord", "name_score", F.spark_partition_id().alias("task")).collect()
+    assert sorted((r.a_ord, r.b_ord) for r in got) == want and {r.name_score == 100 for r in got if r.a_ord % 3 == r.b_ord % 3} == {True}
+    tasks = {}
+    for r in got:
+        tasks[r.task] = tasks.get(r.task, 0) + 1
+    assert max(tasks.values()) < len(want) / 4
