@@ -246,6 +246,14 @@ _ENTITY = (
 )
 
 
+def _cells(column) -> list:
+    """The values of an Arrow column, nulls as None; through numpy where that keeps them."""
+    import pyarrow as pa
+
+    plain = not column.null_count or pa.types.is_string(column.type) or pa.types.is_large_string(column.type)
+    return column.to_numpy(zero_copy_only=False).tolist() if plain else column.to_pylist()
+
+
 def _stream(batches):
     """Rows (component and _INPUT, by component and ord) to founder and ord of each record, and one row without ord for each entity."""
     import pyarrow as pa
@@ -254,25 +262,29 @@ def _stream(batches):
     kinds = [pa.int64(), pa.int64(), text, texts, *[text] * 7, pa.float64(), pa.float64(), pa.int32(), texts]
     names = ["founder", "ord", *[f.strip().split(" ")[0] for f in _ENTITY.split(", ")]]
 
-    def made(joined: list[tuple], entities: list[dict]):
-        rows = [(f, o, *[None] * 13) for f, o in joined]
+    def made(entities: list[dict]):
+        rows = []
         for e in entities:
             own = [e[c] for c in ("founding_domain", "mailing_street", "mailing_city", "mailing_state", "mailing_zip", "lat", "lng")]
             rows.append((e["founder"], None, e["raw_company_name"], list(e["aliases"]), e["phone"], e["domain"], *own, e["confidence"], e["why"]))
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 15, kinds)], names=names)
 
+    def members(founders: list[int], ords):
+        return pa.RecordBatch.from_arrays([pa.array(founders, kinds[0]), ords, *[pa.nulls(len(founders), k) for k in kinds[2:]]], names=names)
+
     component, held = None, Entities()
     for batch in batches:
-        joined = []
-        for row in batch.to_pylist():
-            if row["component"] != component:
+        founders = []
+        # A column at a time: values of single cells and rows are dear, and one task may have most of the records.
+        for of, *row in zip(*[_cells(batch.column(c)) for c in ("component", *_INPUT)]):
+            if of != component:
                 for at in range(0, len(held.all), 10_000):
-                    yield made([], held.all[at : at + 10_000])
-                component, held = row["component"], Entities()
-            joined.append((held.add({c: row[c] for c in _INPUT})["founder"], row["ord"]))
-        yield made(joined, [])
+                    yield made(held.all[at : at + 10_000])
+                component, held = of, Entities()
+            founders.append(held.add(dict(zip(_INPUT, row)))["founder"])
+        yield members(founders, batch.column("ord").cast(kinds[1]))
     for at in range(0, len(held.all), 10_000):
-        yield made([], held.all[at : at + 10_000])
+        yield made(held.all[at : at + 10_000])
 
 
 def resolve_entities(records: DataFrame) -> DataFrame:
