@@ -235,3 +235,18 @@ def test_pairs_of_a_hot_key_in_tiles(spark, monkeypatch):
     for r in got:
         tasks[r.task] = tasks.get(r.task, 0) + 1
     assert max(tasks.values()) < len(want) / 4
+
+
+def test_cells_keep_nulls_and_types():
+    import pyarrow as pa
+
+    cells = [resolve._cells(pa.array(v, k)) for v, k in (([1, None, 1 << 60], pa.int64()), (["a", None], pa.string()), ([1.5, None], pa.float64()), ([1, 2], pa.int64()), ([], pa.string()))]
+    assert cells == [[1, None, 1 << 60], ["a", None], [1.5, None], [1, 2], []] and type(cells[3][0]) is int
+
+
+def test_scores_from_words_of_the_name(spark):
+    from leadloom.functions.similarity import overlap_words
+
+    rows = spark.createDataFrame([("acme.com", "Acme Roofing | Home", "Acme Roofing Experts"), ("b.org/about", None, None), ("c.net", "Zed Co", "")], "url string, title string, canonical_name string")
+    want = [r.score for r in websites.score_candidates(rows).collect()]
+    assert [r.score for r in websites.score_candidates(rows.withColumn("name_words", overlap_words(F.col("canonical_name"))).drop("canonical_name")).collect()] == want
