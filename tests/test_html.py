@@ -88,6 +88,17 @@ def test_a_parcel_page_is_parsed_once(spark, monkeypatch):
     assert len(asked) == 1 and html._cards(parse("<div class='card'><p class='card-header'>A</p></div><p class='card-header'>A</p>"))["A"].tag == "div"
 
 
+def test_a_registry_section_is_walked_once_and_then_its_columns(monkeypatch):
+    walked, walk = [], html.Node.walk
+    monkeypatch.setattr(html.Node, "walk", lambda n: walked.append(n) or walk(n))
+    page = """<p>x</p><div id="business-details" class="col-md-4"><h4>Status: Old</h4><h2> </h2><h2>A  Co</h2><div class="col-md-6"><h4>Principal Office Address</h4><h4>1 Main</h4><h4> </h4><h4 class="col-md-4">PRINCIPAL OFFICE ADDRESS</h4>
+<div class="col-md-4"><h4>Registered Agent</h4><h4>J  Doe</h4></div></div><h4>Status: New</h4></div>"""
+    got = html.registry_details(page)
+    assert (got["matched_name"], got["business_status"], got["registered_agent"]) == ("A Co", "New", "J Doe")
+    assert got["principal_address"] == "1 Main, Registered Agent, J Doe"
+    assert len(walked) == 2 + 3  # the page for its section, the section, its columns
+
+
 def test_parcel_details(spark):
     got = html.parcel_details(PARCEL)
     assert (got["owner_name"], got["mailing_street"], got["mailing_city_state_zip"]) == ("DOE JANE", "12 OAK ST", "TOWN, TN 37000")
