@@ -99,6 +99,22 @@ def test_a_registry_section_is_walked_once_and_then_its_columns(monkeypatch):
     assert len(walked) == 2 + 3  # the page for its section, the section, its columns
 
 
+def test_a_site_page_is_walked_once(monkeypatch):
+    walked, walk = [], html.Node.walk
+    monkeypatch.setattr(html.Node, "walk", lambda n: walked.append(n) or walk(n))
+    assert html.site_page(PAGE, "https://acme.com/")["contact_form_url"] == "https://acme.com/reach" and len(walked) == 1
+
+
+def test_stored_pages_are_dealt_out_before_parsing(spark, tmp_path):
+    from leadloom.plans import catalog
+
+    spark.range(400).selectExpr("id AS page_id", "concat('https://s', id % 7, '.com/') AS url", "concat('<footer>F', id, '</footer>') AS html").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    pages = catalog.site_pages(spark, str(tmp_path)).withColumn("t", F.spark_partition_id())
+    assert pages.count() == 400 and pages.select("t").distinct().count() > 4 and pages.where("footer = concat('F', page_id)").count() == 400
+    sites = catalog.site_contacts(spark, str(tmp_path))
+    assert "Repartition" in sites._jdf.queryExecution().optimizedPlan().toString() and sites.where("pages_read > 56").count() == 7
+
+
 def test_parcel_details(spark):
     got = html.parcel_details(PARCEL)
     assert (got["owner_name"], got["mailing_street"], got["mailing_city_state_zip"]) == ("DOE JANE", "12 OAK ST", "TOWN, TN 37000")
