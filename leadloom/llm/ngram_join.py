@@ -6,7 +6,9 @@ go into a tree of their ordered n-grams: sets that begin alike share a path, the
 all sets below a node, and a subtree goes when what is left of the probe and of its longest set cannot reach the bound.
 
 * *Order*: a sketch of 2 ** SKETCH_BITS counters is summed over the whole corpus; an n-gram's key is its counter's binary
-  logarithm followed by 58 bits of its hash. Any order gives the right links; this one keeps common passages out of prefixes.
+  logarithm followed by 58 bits of its hash. Any order gives the right links; this one keeps common passages out of prefixes, as long
+  as a counter has few n-grams: where it has hundreds, n-grams of hundreds of texts pass for rare, and pairs grow with the square of the texts.
+* *Postings*: most n-grams of prefixes are in one set only; a bitmap of those that are in two leaves the others out before anything is dealt out by n-gram.
 * *Classes*: documents with equal sets are one class; only classes are joined.
 * *Short lists*, of SHORT classes at most, give their pairs as numbers. Prefixes are SHARED - 1 longer than one common n-gram needs, so a pair that links has
   SHARED in common there; pairs with fewer, most of them chance, go before any text is moved.
@@ -33,9 +35,13 @@ WORDS, PERCENT = 5, 80
 SHARED = 3
 #: Classes of a list whose pairs are counted; longer lists go through stars and tiles.
 SHORT = 8
-#: Counters of the sketch: 4,194,304 levels of one byte each are broadcast, whatever the input.
-SKETCH_BITS, SKETCH_PARTS = 22, 256
+#: Counters of the sketch: 67,108,864 levels of half a byte each are broadcast, whatever the input.
+SKETCH_BITS, SKETCH_PARTS = 26, 256
 HASH_BITS = 58
+#: Bits that tell which n-grams of prefixes are in two or more: 32 MB are broadcast, whatever the input; and those of the hash by which they are found.
+MET_BITS, MET_PARTS, CELL_BITS = 28, 1024, 40
+#: Numbers that a task holds before it sends them, sorted.
+BLOCK_CELLS = 1 << 21
 #: n-grams of a block, 2 MB of keys; a longer set is a block of its own.
 BLOCK_GRAMS = 1 << 18
 #: Rows of numbers and keys (under 40 bytes each) that are broadcast; beyond it the join shuffles.
@@ -105,65 +111,128 @@ def required(a, b, percent: int = PERCENT):
     return -(-percent * (a + b) // (100 + percent))
 
 
-def sketch(texts: DataFrame, words: int) -> Broadcast:
-    """Levels (binary logarithm of the counter) of all n-grams of the column ``text``, by the first SKETCH_BITS of the hash."""
-    spark, width = texts.sparkSession, (1 << SKETCH_BITS) // SKETCH_PARTS
+def _dealt_cells(blocks, bits: int, parts: int, most: int | None = None):
+    """Batches of part, n and cells: of each block of numbers below 2 ** ``bits``, those of a part in order, as differences; ``most``: of equal ones in a block, so many."""
+    import numpy as np
+    import pyarrow as pa
+
+    shift = np.uint64(bits - parts.bit_length() + 1)
+    for cells in blocks:
+        cells.sort()
+        if most is not None and len(cells) > most:
+            cells = cells[np.r_[np.ones(most, bool), cells[most:] != cells[:-most]]]
+        ends = np.r_[0, np.searchsorted(cells, np.arange(1, parts, dtype=np.uint64) << shift), len(cells)]
+        local = (cells & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.uint32)
+        rows = []
+        for k in np.flatnonzero(np.diff(ends)).tolist():
+            gaps = np.diff(local[ends[k] : ends[k + 1]], prepend=np.uint32(0))
+            rows.append((k, len(gaps), pa.compress(gaps.view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)))  # the higher bytes are zeros for the most part
+        if rows:
+            part, n, packed = zip(*rows)
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(n, pa.int32()), pa.array(packed, pa.binary())], names=["part", "n", "cells"])
+
+
+def _by_part(batches, made):
+    """Batches of part and bits: ``made`` of the cells of each part, which come as arrays one after the other. The rows are in the order of parts."""
+    from itertools import groupby
 
-    def count(batches):
-        import zlib
+    import numpy as np
+    import pyarrow as pa
 
-        import numpy as np
-        import pyarrow as pa
+    def unpacked(rows):
+        for _, n, packed in rows:
+            planes = np.frombuffer(pa.decompress(packed, 4 * n, "zstd", asbytes=True), np.uint8)
+            yield np.cumsum(np.ascontiguousarray(planes.reshape(4, n).T).view(np.uint32).ravel(), dtype=np.uint32)
 
-        total, waiting, n = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
+    rows = ((k, n, x.as_py()) for batch in batches for k, n, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)))
+    for part, own in groupby(rows, key=lambda r: r[0]):
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([made(unpacked(own))], pa.binary())], names=["part", "bits"])
 
-        def add():
-            if waiting:
-                where, many = np.unique_counts(np.concatenate(waiting))
-                total[where] += many.astype(np.uint32)
 
-        for batch in batches:
-            for text in batch.column(0):
-                waiting.append((shingles(text.as_py(), words) >> np.uint64(64 - SKETCH_BITS)).astype(np.int32))
-                n += len(waiting[-1])
-                if n > 1 << 18:
-                    add()
-                    waiting, n = [], 0
-        add()
-        parts = [(k, zlib.compress(x.tobytes(), 1)) for k, x in enumerate(total.reshape(SKETCH_PARTS, width)) if x.any()]
-        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())], names=["part", "counts"])
-
-    def add(batches):
-        import zlib
+def _in_blocks(arrays):
+    """The numbers of many small arrays in arrays of about BLOCK_CELLS."""
+    import numpy as np
 
-        import numpy as np
-        import pyarrow as pa
+    waiting, n = [], 0
+    for x in arrays:
+        waiting.append(x)
+        n += len(x)
+        if n >= BLOCK_CELLS:
+            yield np.concatenate(waiting)
+            waiting, n = [], 0
+    if n:
+        yield np.concatenate(waiting)
 
-        sums: dict = {}
-        for batch in batches:
-            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                got = np.frombuffer(zlib.decompress(counts.as_py()), np.uint32).astype(np.uint64)
-                sums[part] = sums[part] + got if part in sums else got
-        levels = [np.log2(np.maximum(x, 1)).astype(np.uint8).tobytes() for x in sums.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(levels, pa.binary())], names=["part", "levels"])
 
-    summed = texts.select("text").mapInArrow(count, "part int, counts binary").repartition("part").mapInArrow(add, "part int, levels binary")
+def _gathered(cells: DataFrame, made, parts: int, width: int) -> Broadcast:
+    """``width`` bytes of each part, as ``made`` gives them, zeros for parts without cells; broadcast as one array."""
+    import numpy as np
+
+    whole = np.zeros((parts, width), np.uint8)
+    dealt = cells.repartition("part").sortWithinPartitions("part")
+    for row in dealt.mapInArrow(lambda batches: _by_part(batches, made), "part int, bits binary").collect():  # ``parts`` rows at most, of ``width`` bytes
+        whole[row.part] = np.frombuffer(row.bits, np.uint8)
+    return cells.sparkSession.sparkContext.broadcast(whole.reshape(-1))
+
+
+def sketch(texts: DataFrame, words: int) -> Broadcast:
+    """Levels (binary logarithm of the counter, 15 at most, two to a byte) of all n-grams of the column ``text``, by the first SKETCH_BITS of the hash."""
+    width = (1 << SKETCH_BITS) // SKETCH_PARTS
+
+    def count(batches):
+        found = (shingles(text.as_py(), words) >> np.uint64(64 - SKETCH_BITS) for batch in batches for text in batch.column(0))
+        return _dealt_cells(_in_blocks(found), SKETCH_BITS, SKETCH_PARTS)
+
+    def levels(arrays):
+        total = np.zeros(width, np.uint32)
+        for cells in _in_blocks(arrays):
+            total += np.bincount(cells, minlength=width).astype(np.uint32)
+        level = np.minimum(np.log2(np.maximum(total, 1)), 15).astype(np.uint8)
+        return (level[::2] | level[1::2] << 4).tobytes()
+
     import numpy as np
 
-    levels = np.zeros((SKETCH_PARTS, width), np.uint8)
-    for row in summed.collect():  # SKETCH_PARTS rows at most, of one byte for each counter
-        levels[row.part] = np.frombuffer(row.levels, np.uint8)
-    return spark.sparkContext.broadcast(levels.reshape(-1))
+    return _gathered(texts.select("text").mapInArrow(count, "part int, n int, cells binary"), levels, SKETCH_PARTS, width // 2)
 
 
 def ordered(hashes, levels):
     """Keys of n-grams, ascending in the global order: the level of the counter, then the hash's lower bits."""
     import numpy as np
 
-    level = levels[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
+    at = (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+    level = (levels[at >> 1] >> ((at & 1) << 2).astype(np.uint8) & 15).astype(np.uint64)
     return _distinct((level << np.uint64(HASH_BITS)) | (hashes & np.uint64((1 << HASH_BITS) - 1)))
 
 
+def met(prefixes: DataFrame) -> Broadcast:
+    """A bit for each 2 ** -MET_BITS of the keys' hashes: whether some n-gram there is in two rows' ``prefix`` or more (told by CELL_BITS of its hash).
+
+    Most n-grams of prefixes are in one only; who leaves those out before they are dealt out with their classes moves few rows."""
+    width = (1 << MET_BITS) // MET_PARTS
+
+    def cells(batches):
+        found = (np.frombuffer(x.as_py(), np.uint64) << np.uint64(64 - HASH_BITS) >> np.uint64(64 - CELL_BITS) for batch in batches for x in batch.column(0))
+        return _dealt_cells(_in_blocks(found), CELL_BITS, MET_PARTS, 2)
+
+    def bits(arrays):
+        own = np.sort(np.concatenate([*arrays]))
+        flags = np.zeros(width, np.uint8)
+        flags[own[1:][own[1:] == own[:-1]] >> np.uint32(CELL_BITS - MET_BITS)] = 1
+        return np.packbits(flags, bitorder="little").tobytes()
+
+    import numpy as np
+
+    return _gathered(prefixes.select("prefix").mapInArrow(cells, "part int, n int, cells binary"), bits, MET_PARTS, width // 8)
+
+
+def may_meet(keys, bits):
+    """Of keys of ``ordered``, whether each may be in another prefix too, by the bits of ``met``."""
+    import numpy as np
+
+    at = (keys << np.uint64(64 - HASH_BITS) >> np.uint64(64 - MET_BITS)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
 class Tree:
     """Ordered sets (arrays of ranks in the global order) in a compressed prefix tree; nodes are arrays, by their level.
 
@@ -396,14 +465,26 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = rows.where("n > 0").groupBy("digest").agg(F.min("row_no").alias("class"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("size"))
     classes = materialize(classes, "ngram-classes")
 
+    def meeting(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            prefix, early = [], []
+            for n, x in zip(batch.column(1).to_pylist(), batch.column(2)):
+                keys = np.frombuffer(x.as_py(), np.uint64)
+                kept = may_meet(keys, bits.value)
+                prefix.append(keys[kept].tobytes())
+                early.append(int(kept[: n - required(n, n, percent) + SHARED].sum()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(early, pa.int64()), pa.array(prefix, pa.binary())], names=["row_no", "n", "n_early", "prefix"])
+
     def spread(batches):
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            keys = [np.frombuffer(x.as_py(), np.int64) for x in batch.column(2)]
-            names, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            early = sizes - required(sizes, sizes, percent) + SHARED
+            keys = [np.frombuffer(x.as_py(), np.int64) for x in batch.column(3)]
+            names, sizes, early = (batch.column(c).to_numpy() for c in range(3))
             for lo in range(0, len(keys), 256):
                 part = keys[lo : lo + 256]
                 many = [len(x) for x in part]
@@ -420,7 +501,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             texts = [zlib.compress(x.as_py().encode("utf-8", "surrogatepass"), 1) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], names=["class", "packed"])
 
-    of_class = rows.join(_bounded(classes.select(F.col("class").alias("row_no"))), "row_no", "left_semi").select("row_no", "n", "prefix")
+    bits = met(rows)
+    kept = rows.where("n > 0").select("row_no", "n", "prefix").mapInArrow(meeting, "row_no bigint, n bigint, n_early bigint, prefix binary").where("length(prefix) > 0")
+    of_class = kept.join(_bounded(classes.select(F.col("class").alias("row_no"))), "row_no", "left_semi").select("row_no", "n", "n_early", "prefix")
     postings = of_class.mapInArrow(spread, "gram bigint, class bigint, n bigint, early boolean")
     sizes = [F.min("n").alias("n_lo"), F.max("n").alias("n_hi"), F.min(F.when(F.col("early"), F.col("n"))).alias("early_lo")]
     heads = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("size"), F.min("class").alias("first"), *sizes)
@@ -431,17 +514,15 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     short, long = members.where(F.col("size") <= SHORT), members.where(F.col("size") > SHORT)
     pairs = materialize(_short_pairs(short, percent).unionByName(_star_pairs(long, percent)).distinct(), "ngram-pairs")
 
-    named = pairs.select("class").union(pairs.select("first")).union(long.select("class")).distinct()
-    repeated = rows.groupBy("key").agg((F.count(F.lit(1)) > 1).alias("repeated"))
-    wanted = named.join(rows.select(F.col("row_no").alias("class"), "key"), "class").join(repeated, "key")
-    wanted = source.select("key", "text").join(_bounded(materialize(wanted, "ngram-wanted")), "key").select("class", "text", "repeated")
-    once = wanted.where("repeated").dropDuplicates(["class"])
-    texts = wanted.where("NOT repeated").unionByName(once).select("class", "text").mapInArrow(packed, "class bigint, packed binary")
-    texts = materialize(texts, "ngram-wanted-texts")
-
     def links(tiles):
-        """Links found in ``tiles`` (tile, side, class, component)."""
-        dealt = texts.join(_bounded(materialize(tiles, "tile-rows")), "class").select("tile", "side", "class", "component", "packed")
+        """Links found in ``tiles`` (tile, side, class, component); only texts of their classes are moved."""
+        tiles = materialize(tiles, "tile-rows")
+        repeated = rows.groupBy("key").agg((F.count(F.lit(1)) > 1).alias("repeated"))
+        wanted = tiles.select("class").distinct().join(rows.select(F.col("row_no").alias("class"), "key"), "class").join(repeated, "key")
+        wanted = source.select("key", "text").join(_bounded(materialize(wanted, "ngram-wanted")), "key").select("class", "text", "repeated")
+        once = wanted.where("repeated").dropDuplicates(["class"])
+        texts = wanted.where("NOT repeated").unionByName(once).select("class", "text").mapInArrow(packed, "class bigint, packed binary")
+        dealt = materialize(texts, "ngram-wanted-texts").join(_bounded(tiles), "class").select("tile", "side", "class", "component", "packed")
         return dealt.groupBy("tile").applyInArrow(tile_links(words, percent, levels), "a bigint, b bigint")
 
     edges = materialize(links(_star_tiles(pairs)), "ngram-star-links")

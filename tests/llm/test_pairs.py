@@ -89,6 +89,29 @@ def test_ngram_join_on_odd_rows(spark, odd, none, docs_of):
     assert got(J.ngram_join(docs_of([(*r, None) for r in rows]))) == joined(rows)
 
 
+def test_sketch_tells_rare_ngrams_from_common_ones(spark):
+    texts = [" ".join(f"w{k}x{i}" for i in range(20_000)) + " a b c d e" * 2 for k in range(20)]
+    levels = J.sketch(spark.createDataFrame([(t,) for t in texts], "text string").repartition(5), 5)
+    keys = np.concatenate([J.ordered(J.shingles(t), levels.value) for t in texts])
+    level = {h: int(x) for h, x in zip((keys & np.uint64((1 << J.HASH_BITS) - 1)).tolist(), keys >> np.uint64(J.HASH_BITS))}
+    assert np.mean(np.array(list(level.values())) > 0) < 0.02, "400,000 n-grams do not fill the counters"
+    common = J.shingles("a b c d e a b c d") & np.uint64((1 << J.HASH_BITS) - 1)
+    assert {level[h] for h in common.tolist()} == {4}, "in 20 texts"
+
+
+def test_only_ngrams_of_two_prefixes_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK_CELLS", 500)
+    rng = random.Random(9)
+    keys = [np.array(sorted(rng.getrandbits(J.HASH_BITS + 2) for _ in range(400)), np.uint64) for _ in range(30)]
+    both = keys[3][::20]
+    keys[7] = np.sort(np.concatenate([keys[7], both]))
+    for k in range(30):
+        keys[k] = np.concatenate([keys[k], np.array([5], np.uint64)])
+    bits = J.met(spark.createDataFrame([(bytearray(k.tobytes()),) for k in keys], "prefix binary").repartition(3))
+    assert J.may_meet(both, bits.value).all() and J.may_meet(keys[0][-1:], bits.value).all()
+    assert sum(J.may_meet(k, bits.value).sum() for k in keys) <= 2 * len(both) + 30 + 5
+
+
 def test_shingle_slices_give_the_same_set(monkeypatch):
     words = [f"w{k % 700}" for k in range(5000)]
     whole = J.shingles(" ".join(words))
