@@ -10,11 +10,13 @@ joined. A component of any size costs the memory of its entities; its time stays
 from __future__ import annotations
 
 import math
+from decimal import ROUND_HALF_UP, Decimal
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadloom.functions.similarity import EARTH_KM, common_length, haversine_km, ratio_of_sorted, resolver_key, sorted_tokens
+from leadloom.functions.similarity import EARTH_KM, common_length, resolver_key, sorted_tokens
 from leadloom.functions.text import name_resolver, phone_resolver
 from leadloom.functions.urls import domain_resolver
 from leadloom.operators.components import components
@@ -23,6 +25,8 @@ from leadloom.sources.scratch import materialize
 MERGE_SCORE, NAME_LIKENESS, DOMAIN_NAME_LIKENESS, PHONE_KM = 65, 85, 60, 5.0
 #: Records of a block, when all pairs of a key are made.
 BLOCK_ROWS = 1_000
+#: Pairs whose records are prepared together, and those scored at a time.
+PAIRS, SLICE = 1 << 18, 1 << 15
 
 
 def prepared(records: DataFrame) -> DataFrame:
@@ -33,38 +37,221 @@ def prepared(records: DataFrame) -> DataFrame:
 
 
 def _tiles(p: DataFrame, key: str) -> DataFrame:
-    """Pairs of prepared records (columns a_ and b_, ``ord`` of a before b) with an equal ``key``. Records of a key lie in blocks of about BLOCK_ROWS, and
-    every two blocks meet in a tile of their own, so that a hot key's pairs are many tasks' work and none holds more than a block."""
-    sizes = p.where(F.col(key).isNotNull()).groupBy(key).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("_blocks"))
+    """Records with an equal ``key`` (columns kind, key, i, j, side and theirs), each in every tile of its block. Records of a key lie in blocks of about BLOCK_ROWS, and
+    every two blocks (sides 0 and 1), or a block alone, are a tile, so that a hot key's pairs are many tasks' work and none holds more than two blocks."""
+    sizes = p.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key, F.ceil(F.col("_n") / BLOCK_ROWS).alias("_blocks"))
     rows = p.join(sizes, key).withColumn("_block", F.pmod(F.xxhash64("ord"), F.col("_blocks")))
-    blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1))
-    n = 8 * p.sparkSession.sparkContext.defaultParallelism
-    side = lambda s, own, other: rows.select(*[F.col(c).alias(f"{s}_{c}") for c in _PAIRED], F.col(key).alias("_key"), F.col("_block").alias(own), blocks.alias(other)).repartition(n, "_key", "_i", "_j")
-    pairs = side("a", "_i", "_j").hint("merge").join(side("b", "_j", "_i"), ["_key", "_i", "_j"])
-    return pairs.where("a_ord < b_ord").drop("_key", "_i", "_j")
-
-
-_PAIRED = ("ord", "name", "words", "phone", "domain", "mailing_zip", "lat", "lng")
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1)))
+    tile = [F.lit(key).alias("kind"), F.col(key).alias("key"), F.least("_block", "_other").alias("i"), F.greatest("_block", "_other").alias("j"), (F.col("_block") > F.col("_other")).cast("int").alias("side")]
+    return rows.select(*tile, *_PAIRED)
+
+
+_PAIRED = ("ord", "words", "named", "phone", "domain", "mailing_zip", "lat", "lng")
+
+
+@lru_cache(maxsize=100_000)
+def _half_up(x: float, digits: int) -> float:
+    """``x`` rounded as Spark's round does: its shortest decimal form, halves away from zero."""
+    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP))
+
+
+def _numbered(codes):
+    """The distinct values of an array of small numbers, and for each number the place of its value: np.unique without a sort."""
+    import numpy as np
+
+    seen = np.bincount(codes) > 0
+    return np.flatnonzero(seen), (np.cumsum(seen) - 1)[codes]
+
+
+class Common:
+    """Lengths of the longest common subsequences of words: ``common_length`` of many pairs at a time, a machine word of the one's letters in each.
+
+    ``n`` pairs are going to be asked for: where the words are few beside them, all are compared at once and looked up."""
+
+    def __init__(self, words: list[str], n: int):
+        import numpy as np
+
+        self.words, self.sizes = words, np.array([len(w) for w in words])
+        width = max(1, int(self.sizes.max(initial=0)))
+        letter = np.array(words, f"U{width}").view(np.uint32).reshape(len(words), width)
+        given = np.arange(width) < self.sizes[:, None]
+        alphabet, code = np.unique(letter[given], return_inverse=True)
+        self.code = np.zeros(letter.shape, np.int32)  # 0 is no letter
+        self.code[given] = code + 1
+        self.places, every = np.zeros((len(alphabet) + 1, len(words)), np.uint64), np.arange(len(words))
+        for at in range(min(width, 64)):
+            self.places[self.code[:, at], every] |= np.uint64(1 << at)
+        self.places[0] = 0
+        self.ones = np.array([(1 << min(len(w), 64)) - 1 for w in words], np.uint64)
+        self.long = bool((self.sizes > 64).any())
+        self.table = None
+        if words and not self.long and len(words) ** 2 <= n:
+            step = max(1, 32_768 // len(words))
+            wide = lambda c: self._compared(np.broadcast_to(self.ones, (len(c), len(words))), (self.places[c[:, at]] for at in range(c.shape[1])), self.ones)
+            self.table = np.concatenate([wide(self.code[k : k + step]) for k in range(0, len(words), step)])
+
+    @staticmethod
+    def _compared(state, hits, ones):
+        import numpy as np
+
+        for hit in hits:
+            hit = hit & state
+            state = state + hit | state - hit
+        return np.bitwise_count(~state & ones).astype(np.int32)
+
+    def of(self, x, y):
+        """For arrays of places among the words."""
+        import numpy as np
+
+        if self.table is not None:
+            return self.table[x, y]
+        if not self.long:
+            longest = int(self.sizes[y].max(initial=0))
+            return self._compared(self.ones[x], (self.places[self.code[y, at], x] for at in range(longest)), self.ones[x])
+        out = np.zeros(len(x), np.int32)
+        x, y = np.where(self.sizes[x] > 64, y, x), np.where(self.sizes[x] > 64, x, y)
+        for k in np.flatnonzero(self.sizes[x] > 64).tolist():
+            out[k] = common_length(self.words[x[k]], self.words[y[k]])
+        short = np.flatnonzero(self.sizes[x] <= 64)
+        x, y = x[short], y[short]
+        longest = int(self.sizes[y].max(initial=0))
+        out[short] = self._compared(self.ones[x], (self.places[self.code[y, at], x] for at in range(longest)), self.ones[x])
+        return out
+
+
+def _scored(rows, tiles, digits: int | None, km: bool):
+    """The scores of all pairs of ``tiles``, slices of ``rows`` (start, start of side 1, end), SLICE pairs or one row's at a time."""
+    import numpy as np
+    import pyarrow as pa
 
+    lo, hi = tiles[0][0], tiles[-1][2]
+    rows = rows.slice(lo, hi - lo)
+    first, n = np.zeros(hi - lo, np.int64), np.zeros(hi - lo, np.int64)  # of each row, those that it meets
+    for start, other, end in tiles:
+        own = slice(start - lo, other - lo)
+        first[own] = np.arange(start, other) + 1 - lo if other == end else other - lo
+        n[own] = end - lo - first[own]
+
+    def code(name):
+        found = rows.column(name).combine_chunks().dictionary_encode()
+        return found.indices.fill_null(-1).to_numpy(zero_copy_only=False), found.dictionary.to_pylist()
+
+    def cells(name):
+        return rows.column(name).to_numpy()
+
+    order, (domain, _), (phone, _) = cells("ord"), code("domain"), code("phone")
+    by_phone = cells("kind") == "phone"
+    (words, texts), (zips, zip_texts), named = code("words"), code("mailing_zip"), cells("named").astype(bool)
+    zips = np.where(np.array([z == "" for z in zip_texts] + [True])[zips], -1, zips)  # an empty zip is like none
+    ends = np.cumsum(n)
+    sizes, like = np.array([len(t) for t in texts] + [0]), Common(texts, int(ends[-1]))
+    lat, lng = np.radians(cells("lat")), np.radians(cells("lng"))
+    cos, placed = np.cos(lat), np.logical_and(*(rows.column(c).is_valid().to_numpy() for c in ("lat", "lng")))
+    limit = math.sin(PHONE_KM / 2 / EARTH_KM) ** 2
+    points = np.array([sum(v for k, v in enumerate((10, 30, 35, 30)) if bits >> k & 1) for bits in range(16)], np.int32)
+    any_of = {"phone": by_phone.any(), "words": (words < 0).any()}
+
+    def part(x, y):
+        def same(codes):
+            a = codes[x]
+            return (a == codes[y]) & (a >= 0)
+
+        same_domain, same_phone, a, b = same(domain), same(phone), order[x], order[y]
+        kept = a != b
+        if any_of["phone"]:
+            kept &= ~(by_phone[x] & same_domain)
+        if not kept.all():
+            x, y, a, b, same_domain, same_phone = (v[kept] for v in (x, y, a, b, same_domain, same_phone))
+        u, v = words[x], words[y]
+        known = (u >= 0) & (v >= 0) if any_of["words"] else np.ones(len(x), bool)
+        ratio, unlike = np.full(len(x), 100.0), np.flatnonzero((u != v) & known)
+        if len(unlike):
+            u, v = u[unlike], v[unlike]
+            common, total = like.of(v, u), sizes[u] + sizes[v]  # u comes in runs
+            width = int(total.max()) + 1
+            seen, at = np.unique(common * width + total, return_inverse=True) if width > 256 else _numbered(common * width + total)
+            values = [200.0 * (k // width) / (k % width) for k in seen.tolist()]
+            plain = np.array(values)[at]
+            ratio[unlike] = plain if digits is None else np.array([_half_up(k, digits) for k in values])[at]
+        both = named[x] & named[y] & known
+        alike, apart = both.copy(), np.zeros(len(x), bool)  # by the likeness before it is rounded
+        if len(unlike):
+            alike[unlike] &= plain >= NAME_LIKENESS
+            apart[unlike] = both[unlike] & (plain < DOMAIN_NAME_LIKENESS)
+        veto = same_domain & apart
+        ask = np.arange(len(x)) if km else np.flatnonzero(same_phone & placed[x] & placed[y])
+        p, q = x[ask], y[ask]
+        h = np.sin((lat[q] - lat[p]) / 2) ** 2 + cos[p] * cos[q] * np.sin((lng[q] - lng[p]) / 2) ** 2
+        close, located = h <= limit, placed[p] & placed[q]
+        exact = np.arange(len(h)) if km else np.flatnonzero(np.abs(h - limit) < 1e-9 * limit)  # else the arc is needed only where it decides
+        with np.errstate(invalid="ignore"):
+            away = 2 * EARTH_KM * np.arcsin(np.sqrt(h[exact]))
+        close[exact] = away <= PHONE_KM
+        veto[ask] |= same_phone[ask] & located & ~close  # as in SQL, what is no number is far
+        bits = same(zips).view(np.uint8) | alike.view(np.uint8) << 1 | same_domain.view(np.uint8) << 2 | same_phone.view(np.uint8) << 3
+        made = {"a_ord": pa.array(np.minimum(a, b)), "b_ord": pa.array(np.maximum(a, b)), "name_score": pa.array(ratio, mask=None if known.all() else ~known)}
+        made |= {"km": pa.array(away, mask=~located)} if km else {}
+        return pa.RecordBatch.from_pydict(made | {"veto": pa.array(veto), "score": pa.array(points[bits])})
+
+    at = 0
+    while at < hi - lo:
+        before = int(ends[at] - n[at])
+        to = max(at + 1, int(np.searchsorted(ends, before + SLICE, "right")))
+        if int(ends[to - 1]) > before:
+            x = np.repeat(np.arange(at, to), n[at:to])
+            yield part(x, np.arange(len(x)) + np.repeat(first[at:to] - ends[at:to] + n[at:to] + before, n[at:to]))
+        at = to
+
+
+def _pairs_of(batches, digits: int | None, km: bool):
+    """Rows of tiles, in their order, to pairs; held are the records of a batch and SLICE pairs."""
+    import numpy as np
+    import pyarrow as pa
 
-def candidate_pairs(records: DataFrame) -> DataFrame:
+    def scored(rows, starts, ends):
+        side = rows.column("side").to_numpy()
+        waiting, n = [], 0
+        for start, end in zip(starts, ends):
+            other = start + int(np.searchsorted(side[start:end], 1))
+            if 0 < other - start < end - start or other == end > start + 1:
+                waiting.append((start, other, end))
+                n += (other - start) * (end - other) or (end - start) ** 2 // 2
+            if n >= PAIRS:
+                yield from _scored(rows, waiting, digits, km)
+                waiting, n = [], 0
+        if waiting:
+            yield from _scored(rows, waiting, digits, km)
+
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = (pa.concat_tables([held, rows]) if held is not None else rows).combine_chunks()
+        if not rows.num_rows:
+            continue
+        new = np.zeros(rows.num_rows, bool)
+        for name in ("kind", "key", "i", "j"):
+            codes = rows.column(name).combine_chunks().dictionary_encode().indices.to_numpy()
+            new[1:] |= codes[1:] != codes[:-1]
+        starts = [0, *np.flatnonzero(new).tolist()]
+        yield from scored(rows, starts[:-1], starts[1:])
+        held = rows.slice(starts[-1])
+    if held is not None:
+        yield from scored(held.combine_chunks(), [0], [held.num_rows])
+
+
+def candidate_pairs(records: DataFrame, digits: int | None = None, km: bool = True) -> DataFrame:
     """Scores of all pairs of records (``ord`` of a before b) with an equal domain or phone: parts, veto and total.
 
-    For looking at the evidence; resolution itself never makes pairs. Names are put in order once a record, and only
-    pairs whose names then differ are compared letter by letter."""
-    p = prepared(records).withColumn("words", sorted_tokens(F.col("name")))
+    For looking at the evidence; resolution itself never makes pairs. Names are put in order once a record, and those that then differ are compared
+    many at a time; ``digits`` rounds name_score, and without ``km`` distances are taken only where they can veto and left out."""
+    p = prepared(records).withColumn("words", sorted_tokens(F.col("name"))).withColumn("named", F.coalesce(F.col("name") != "", F.lit(False)))
+    kind = p.schema["ord"].dataType
+    p = p.withColumns({"ord": F.col("ord").cast("bigint"), "lat": F.col("lat").try_cast("double"), "lng": F.col("lng").try_cast("double"), "mailing_zip": F.col("mailing_zip").cast("string")})
     p = materialize(p.select(*_PAIRED), "paired-records")
-    pairs = _tiles(p, "domain").unionByName(_tiles(p, "phone").where(~F.col("a_domain").eqNullSafe(F.col("b_domain")) | F.col("a_domain").isNull()))
-    alike = F.coalesce(F.col("a_words") == F.col("b_words"), F.lit(False))
-    pairs = pairs.where(alike).withColumn("name_score", F.lit(100.0)).unionByName(pairs.where(~alike).withColumn("name_score", ratio_of_sorted(F.col("a_words"), F.col("b_words"))))
-    pairs = pairs.withColumn("km", haversine_km(F.col("a_lat"), F.col("a_lng"), F.col("b_lat"), F.col("b_lng")))
-    named = (F.col("a_name") != "") & (F.col("b_name") != "")
-    yes = lambda c, n: F.when(F.coalesce(c, F.lit(False)), n).otherwise(0)
-    same = lambda c: F.col(f"a_{c}") == F.col(f"b_{c}")
-    score = yes(named & (F.col("name_score") >= NAME_LIKENESS), 30) + yes(same("domain"), 35) + yes(same("phone"), 30)
-    score += yes(same("mailing_zip") & (F.col("a_mailing_zip") != ""), 10)
-    veto = F.coalesce(same("domain") & named & (F.col("name_score") < DOMAIN_NAME_LIKENESS), F.lit(False)) | F.coalesce(same("phone") & (F.col("km") > PHONE_KM), F.lit(False))
-    return pairs.select("a_ord", "b_ord", "name_score", "km", veto.alias("veto"), score.alias("score"))
+    n = 8 * p.sparkSession.sparkContext.defaultParallelism
+    tiles = _tiles(p, "domain").unionByName(_tiles(p, "phone")).repartition(n, "kind", "key", "i", "j").sortWithinPartitions("kind", "key", "i", "j", "side")
+    pairs = tiles.mapInArrow(lambda batches: _pairs_of(batches, digits, km), f"a_ord bigint, b_ord bigint, name_score double, {'km double, ' * km}veto boolean, score int")
+    return pairs.withColumns({c: F.col(c).cast(kind) for c in ("a_ord", "b_ord")})
 
 
 def component_of(records: DataFrame) -> DataFrame:

@@ -250,3 +250,49 @@ def test_scores_from_words_of_the_name(spark):
     rows = spark.createDataFrame([("acme.com", "Acme Roofing | Home", "Acme Roofing Experts"), ("b.org/about", None, None), ("c.net", "Zed Co", "")], "url string, title string, canonical_name string")
     want = [r.score for r in websites.score_candidates(rows).collect()]
     assert [r.score for r in websites.score_candidates(rows.withColumn("name_words", overlap_words(F.col("canonical_name"))).drop("canonical_name")).collect()] == want
+
+
+def test_pairs_as_records_compared_one_by_one_give_them(spark):
+    from leadloom.operators import resolve
+
+    names = ["Acme Roofing", "Roofing Acme", "Akme Rofing Ltd", "", None, "Zed", "é" * 40 + " " + "b" * 50, "b" * 49 + " " + "é" * 41, "x\0y z", "Customer 7"]
+    sites, phones, zips = ["hot.com", "hot.com", "b.org", None], ["8655550100", "8655550101", None], ["37901", "", None]
+    places = [(35.9, -83.9), (35.95, -83.9), (None, -83.9), (float("nan"), -83.9), (35.9, None)]
+    rows = [(k, names[k * 7 % 10], phones[k % 3], sites[k // 3 % 4], zips[k // 5 % 3], *places[k // 2 % 5]) for k in range(150)]
+    df = spark.createDataFrame(rows, "ord long, raw_company_name string, raw_phone string, raw_website string, mailing_zip string, lat double, lng double")
+    p = [r.asDict() for r in resolve.prepared(df).orderBy("ord").collect()]
+    want = {}
+    for a in p:
+        for b in p[a["ord"] + 1 :]:
+            same = {c: a[c] is not None and a[c] == b[c] for c in ("domain", "phone", "mailing_zip")}
+            if same["domain"] or same["phone"]:
+                ratio = None if None in (a["name"], b["name"]) else resolve._ratio(a["name"], b["name"])
+                km = resolve._km(a, b)
+                both = bool(a["name"] and b["name"])
+                veto = (same["domain"] and both and ratio < 60) or (same["phone"] and km is not None and not km <= 5)
+                want[a["ord"], b["ord"]] = (ratio, km if km is None else round(km, 9), veto, 30 * (both and ratio >= 85) + 35 * same["domain"] + 30 * same["phone"] + 10 * (same["mailing_zip"] and a["mailing_zip"] != ""))
+    found = resolve.candidate_pairs(df)
+    got = {(r.a_ord, r.b_ord): (r.name_score, r.km if r.km is None else round(r.km, 9), r.veto, r.score) for r in found.collect()}
+    assert len(got) == found.count() and str(sorted(got.items())) == str(sorted(want.items()))
+    short = {(r.a_ord, r.b_ord): r[2:] for r in resolve.candidate_pairs(df, digits=6, km=False).collect()}
+    rounded = {k: (None if r is None else float(f"{r:.6f}"), v, s) for k, (r, _, v, s) in want.items()}
+    assert short == rounded
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "SortMergeJoin [_key" not in plan, "pairs are made and scored in tiles, not row by row"
+
+
+def test_common_lengths_of_many_pairs():
+    import random
+
+    import numpy as np
+
+    from leadloom.functions.similarity import common_length
+    from leadloom.operators.resolve import Common
+
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcé \0") for _ in range(rng.choice([0, 1, 5, 20, 63, 64]))) for _ in range(60)]
+    for texts in (words, words + ["ab" * 40, "b" * 70]):
+        x, y = (np.array([rng.randrange(len(texts)) for _ in range(500)]) for _ in range(2))
+        want = [common_length(texts[a], texts[b]) for a, b in zip(x, y)]
+        for n in (0, 1 << 20):  # pair by pair, and from a table of all
+            assert Common(texts, n).of(x, y).tolist() == want
