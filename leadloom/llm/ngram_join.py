@@ -510,6 +510,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # A list of two matters if they are of fitting size and the smaller has the n-gram early; a longer one if any has.
     heads = heads.where(f"early_lo IS NOT NULL AND (size > 2 OR (size = 2 AND early_lo = n_lo AND {percent} * n_hi <= 100 * n_lo))").select("gram", "size", "first")
     members = materialize(postings.join(heads, "gram"), "ngram-lists")
+    bits.destroy()
 
     short, long = members.where(F.col("size") <= SHORT), members.where(F.col("size") > SHORT)
     pairs = materialize(_short_pairs(short, percent).unionByName(_star_pairs(long, percent)).distinct(), "ngram-pairs")
